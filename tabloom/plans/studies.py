@@ -21,7 +21,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import Binarizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.operators.metrics import CLASS_METRICS, binary_metrics, weighted_metrics
@@ -86,7 +86,7 @@ def run_grid(tasks: Sequence[Callable], parallelism: int = 4) -> list:
     if parallelism <= 1:
         return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda t: inheritable_thread_target(t)(), tasks))
+        return list(pool.map(lambda t: t(), [inheritable_thread_target(SparkSession.active())(t) for t in tasks]))
 
 
 def tagged_predictions(models: Sequence[tuple[int, Transformer]], splits: dict[str, DataFrame]) -> DataFrame:
