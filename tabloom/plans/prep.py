@@ -161,7 +161,9 @@ class Preparation(Estimator):
         train = current.filter("split = 'train'").drop("split")
         test = current.filter("split = 'test'").drop("split")
         if self.outliers:
-            train = Outliers(self.outliers, columns=numeric).fit(train).transform(train)
+            # Two-valued columns (one-hot, flags) have no outliers.
+            measured = variable_types(train.select(*numeric))["numeric"]
+            train = Outliers(self.outliers, columns=measured).fit(train).transform(train)
         scaler = selector = None
         if self.scaling:
             scaler = Scaling(self.scaling, numeric, target).fit(train)
