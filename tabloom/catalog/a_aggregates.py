@@ -58,7 +58,7 @@ def a04(t):
 
 @query("a04_describe_bracketed", each("select '{c}' as variable, " + SUMMARY_SQL + " from " + GAPS_SQL, NUMERIC))
 def a04_bracketed(t):
-    return rounded(A.describe_table(lineitem_gaps(t), NUMERIC, small_rows=0, accuracy=200), SUMMARY_ROUNDED)
+    return rounded(A.describe_table(lineitem_gaps(t), NUMERIC, small_cells=0, accuracy=200), SUMMARY_ROUNDED)
 
 
 @query("a05_value_counts", "select o_orderpriority, count(*) as n from orders group by 1")

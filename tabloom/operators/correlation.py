@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tabloom.session import local_table
 
-PAIRS_PER_SCAN = 60
+# Up to this many pairs the JVM aggregate stays inside generated code.
+MAX_PAIRS_AGGREGATE = 8
 
 
 def gramian(df: DataFrame, columns: Sequence[str], shifts: Sequence[float] | None = None) -> dict[str, np.ndarray]:
@@ -56,18 +57,14 @@ def gramian(df: DataFrame, columns: Sequence[str], shifts: Sequence[float] | Non
 
 
 def _correlations_by_columns(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
-    out = {}
-    for start in range(0, len(pairs), PAIRS_PER_SCAN):
-        chunk = pairs[start:start + PAIRS_PER_SCAN]
-        exprs = []
-        for i, (a, b) in enumerate(chunk):
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-            spread = F.nullif(F.sqrt(F.var_pop(xs) * F.var_pop(ys)), F.lit(0.0))
-            exprs.append((F.covar_pop(x, y) / spread).alias(f"r{i}"))
-        row = df.agg(*exprs).first()
-        out.update({pair: row[f"r{i}"] for i, pair in enumerate(chunk)})
-    return out
+    exprs = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        spread = F.nullif(F.sqrt(F.var_pop(xs) * F.var_pop(ys)), F.lit(0.0))
+        exprs.append((F.covar_pop(x, y) / spread).alias(f"r{i}"))
+    row = df.agg(*exprs).first()
+    return {pair: row[f"r{i}"] for i, pair in enumerate(pairs)}
 
 
 def _correlations_by_gramian(df: DataFrame, columns: list[str], pairs: list[tuple[str, str]]) -> dict:
@@ -84,22 +81,23 @@ def _correlations_by_gramian(df: DataFrame, columns: list[str], pairs: list[tupl
         cov = g["sij"][i, j] - g["si"][i, j] * g["si"][j, i] / n
         vi = g["sii"][i, j] - g["si"][i, j] ** 2 / n
         vj = g["sii"][j, i] - g["si"][j, i] ** 2 / n
-        tiny = 1e-12 * max(g["sii"][i, j], g["sii"][j, i], 0.0)
-        out[(a, b)] = float(cov / np.sqrt(vi * vj)) if vi > tiny * 1e-3 and vj > tiny * 1e-3 and vi > 0 and vj > 0 else None
+        # The values are centred, so what rounding leaves of a constant is far below this share.
+        varies = vi > 1e-15 * g["sii"][i, j] and vj > 1e-15 * g["sii"][j, i]
+        out[(a, b)] = float(cov / np.sqrt(vi * vj)) if varies else None
     return out
 
 
 def correlations(df: DataFrame, columns: Sequence[str], *, wide: bool | None = None) -> dict[tuple[str, str], float | None]:
     """Pearson r of every pair; null when a side is constant on the shared rows.
 
-    Few pairs are one JVM aggregate; many columns take the Gram matrix instead
-    of one scan per group of pairs.
+    Either way the table is scanned once: few pairs are one JVM aggregate, more
+    take the Gram matrix.
     """
     columns = list(columns)
     pairs = list(combinations(columns, 2))
     if not pairs:
         return {}
-    if wide if wide is not None else len(pairs) > PAIRS_PER_SCAN:
+    if wide if wide is not None else len(pairs) > MAX_PAIRS_AGGREGATE:
         return _correlations_by_gramian(df, columns, pairs)
     return _correlations_by_columns(df, pairs)
 

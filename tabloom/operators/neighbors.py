@@ -188,18 +188,23 @@ def knn_join(
         T.StructField("_qid", qid_type), T.StructField("_cid", cid_type), T.StructField("_d", T.DoubleType()), *keep_fields,
     ])
     final_names = [query_id, out_id, "distance", "rank", *keep]
-    n_candidates = candidates.count()
+    c = materialize(c, "knn-candidates")
+    n_candidates = c.count()
     if n_candidates == 0:
         empty = spark.createDataFrame([], schema).withColumn("_rank", F.lit(1))
         return empty.select("_qid", "_cid", "_d", "_rank", *[f.name for f in keep_fields]).toDF(*final_names)
 
-    pivots = _pivots(c, min(max_pivots, max(1, ceil(n_candidates / block_rows))))
-    gaps = pair_distances(pivots, pivots, metric)
-    q = materialize(_assign_cells(q, pivots, metric), "knn-queries")
-    c = materialize(_assign_cells(c, pivots, metric), "knn-candidates")
     wanted = k + 1 if exclude_self else k
-    radius, sizes, near = _cell_facts(q, c, wanted)
-    routes, blocks = _routes(radius, sizes, near, gaps, wanted, block_rows)
+    if n_candidates <= block_rows:
+        # One block holds all candidates: nothing to prune, so no cells are needed.
+        q, c = (d.withColumns({"_cell": F.lit(0), "_dist": F.lit(0.0)}) for d in (materialize(q, "knn-queries"), c))
+        routes, blocks = [(0, 0, 0.0)], [(0, max(1, ceil(q.count() / block_rows)), 1)]
+    else:
+        pivots = _pivots(c, min(max_pivots, ceil(n_candidates / block_rows)))
+        q = materialize(_assign_cells(q, pivots, metric), "knn-queries")
+        c = materialize(_assign_cells(c, pivots, metric), "knn-cells")
+        gaps = pair_distances(pivots, pivots, metric)
+        routes, blocks = _routes(*_cell_facts(q, c, wanted), gaps, wanted, block_rows)
     route_table = F.broadcast(local_table(spark, routes, "_cell int, _to int, _least double"))
     block_table = F.broadcast(local_table(spark, blocks, "_to int, _qblocks int, _cblocks int"))
 
@@ -287,10 +292,14 @@ def missing_value_donors(
         y = np.array([np.asarray(v, dtype=float) for v in right["_dvec"]])
         donors, ids = right["_donor"].to_numpy(), left["_id"].to_numpy()
         parts = []
-        for part in _chunks(len(x), len(y), width):
-            diff = x[part][:, None, :] - y[None, :, :]
-            shared = (~np.isnan(diff)).sum(axis=2)
-            total = np.nansum(diff * diff, axis=2)
+        known, filled = ~np.isnan(y), np.nan_to_num(y)
+        for part in _chunks(len(x), len(y), 1):
+            total, shared = np.zeros((len(x[part]), len(y))), np.zeros((len(x[part]), len(y)), dtype=np.int64)
+            for j in range(width):
+                both = ~np.isnan(x[part][:, j])[:, None] & known[None, :, j]
+                gap = np.nan_to_num(x[part][:, j])[:, None] - filled[None, :, j]
+                total += np.where(both, gap * gap, 0.0)
+                shared += both
             with np.errstate(divide="ignore", invalid="ignore"):
                 d = np.where(shared > 0, np.sqrt(total * width / shared), np.inf)
             for var in range(width):
@@ -299,13 +308,16 @@ def missing_value_donors(
                 if not len(need) or not len(have):
                     continue
                 block = d[np.ix_(need, have)]
-                nearest = np.argsort(block, axis=1, kind="stable")[:, :k]
-                dist = np.take_along_axis(block, nearest, axis=1)
-                rows, cols = np.nonzero(np.isfinite(dist))
-                picked = have[nearest[rows, cols]]
+                keep = min(k, len(have))
+                bound = np.partition(block, keep - 1, axis=1)[:, keep - 1:keep]
+                rows, cols = np.nonzero((block <= bound) & np.isfinite(block))
+                order = np.lexsort((cols, block[rows, cols], rows))
+                rows, cols = rows[order], cols[order]
+                best_rows = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+                rows, cols = rows[best_rows], cols[best_rows]
                 parts.append(pd.DataFrame({
-                    "_id": ids[part][need[rows]], "_var": var, "_donor": donors[picked],
-                    "_d": dist[rows, cols], "_value": y[picked, var],
+                    "_id": ids[part][need[rows]], "_var": var, "_donor": donors[have[cols]],
+                    "_d": block[rows, cols], "_value": y[have[cols], var],
                 }))
         return pd.concat(parts) if parts else pd.DataFrame(columns=names)
 

@@ -1,7 +1,7 @@
 """Exact quantiles with bounded memory.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
-buffer, so it is used only below a checked row count.  Above it a mergeable
+buffer, so it is used only below a checked number of values.  Above it a mergeable
 sketch brackets each wanted rank, and a second scan counts the few distinct
 values inside the brackets and everything below them.
 """
@@ -14,7 +14,7 @@ from math import ceil, floor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 100_000
+SMALL_CELLS = 1_000_000
 ACCURACY = 10_000
 COLLECT_ROWS = 200_000
 QUARTILES = (0.25, 0.5, 0.75)
@@ -25,7 +25,7 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float] = QUARTILES,
     *,
-    small_rows: int = SMALL_ROWS,
+    small_cells: int = SMALL_CELLS,
     accuracy: int = ACCURACY,
     collect_rows: int = COLLECT_ROWS,
 ) -> dict[str, list[float | None]]:
@@ -41,7 +41,7 @@ def exact_quantiles(
         *[F.max(c).alias(f"hi_{c}") for c in names],
     ).first()
     counts = {c: facts[f"n_{c}"] for c in names}
-    if max(counts.values()) <= small_rows:
+    if sum(counts.values()) <= small_cells:
         row = slim.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in names]).first()
         return {columns[i]: list(row[c]) if row[c] is not None else [None] * len(probs) for i, c in enumerate(names)}
 
@@ -68,18 +68,27 @@ def exact_quantiles(
 
 
 def _narrow(slim, targets, brackets, inside, accuracy, slack):
-    """A tighter bracket for each target from one sketch pass."""
+    """A tighter bracket for each target from one sketch pass.
+
+    Targets that still share a column and a bracket share one sketch.
+    """
+    shared: dict[tuple, list] = {}
+    for key in targets:
+        shared.setdefault((key[0], *brackets[key]), []).append(key)
     exprs = []
-    keys = list(targets)
-    for i, key in enumerate(keys):
-        c, (a, b), (below, count) = key[0], brackets[key], inside[key]
-        low, high = targets[key]
-        margin = slack / accuracy + slack / count
-        at = [max(0.0, (low - below) / count - margin), min(1.0, (high - below + 1) / count + margin)]
+    for i, ((c, a, b), keys) in enumerate(shared.items()):
+        at = []
+        for key in keys:
+            (below, count), (low, high) = inside[key], targets[key]
+            margin = slack / accuracy + slack / count
+            at += [max(0.0, (low - below) / count - margin), min(1.0, (high - below + 1) / count + margin)]
         value = F.when((F.col(c) >= a) & (F.col(c) <= b), F.col(c))
         exprs.append(F.percentile_approx(value, at, accuracy).alias(f"b{i}"))
     row = slim.agg(*exprs).first()
-    return {key: tuple(row[f"b{i}"]) for i, key in enumerate(keys)}
+    return {
+        key: (row[f"b{i}"][2 * j], row[f"b{i}"][2 * j + 1])
+        for i, keys in enumerate(shared.values()) for j, key in enumerate(keys)
+    }
 
 
 def _measure(slim, brackets):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,47 +15,61 @@ from tabloom.session import local_table
 KINDS = ("numeric", "binary", "date", "symbolic")
 
 
+def _probes(columns: Sequence[str]) -> dict[tuple[str, str], Column]:
+    """True where a present text value fails a probe: one number probe and one per date layout."""
+    out = {}
+    for c in columns:
+        present = F.col(c).isNotNull()
+        out[(c, "number")] = present & number_probe(F.col(c)).isNull()
+        for fmt in DATE_FORMATS:
+            out[(c, fmt)] = present & timestamp_probe(F.col(c), fmt).isNull()
+    return out
+
+
 def variable_types(df: DataFrame, *, symbolic_patterns: Sequence[str] = (), force_symbolic: Sequence[str] = ()) -> dict[str, list[str]]:
     """Two distinct values make a column binary; otherwise numbers, then dates, then symbolic.
 
-    Two aggregates over the table cover all columns: the first finds the
-    extremes and the values no number or date layout accepts, the second
+    Two aggregates over the table cover all columns.  The first finds the
+    extremes.  A probe that already rejects a column's extremes is settled; the
+    second aggregate counts the rejections of the remaining ones, and tells
     whether any value lies strictly between the extremes.
     ``symbolic_patterns`` turns numeric columns whose name matches symbolic;
     ``force_symbolic`` names columns outright.
     """
     result: dict[str, list[str]] = {k: [] for k in KINDS}
+    at = {c: i for i, c in enumerate(df.columns)}
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.VarcharType))]
+    facts = df.agg(*[fn(c).alias(f"{n}{i}") for c, i in at.items() for n, fn in (("lo", F.min), ("hi", F.max))]).first()
+    low, high = ({c: facts[f"{n}{i}"] for c, i in at.items()} for n in ("lo", "hi"))
+
+    failed: set[tuple[str, str]] = set()
+    probes = _probes(text)
+    if text:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in text])
+        extremes = df.sparkSession.createDataFrame([tuple(v[c] for c in text) for v in (low, high)], schema)
+        row = extremes.agg(*[F.bool_or(p).alias(f"p{k}") for k, p in enumerate(probes.values())]).first()
+        failed = {key for k, key in enumerate(probes) if row[f"p{k}"]}
+    two = [c for c in df.columns if low[c] != high[c]]
     exprs = []
-    for i, c in enumerate(df.columns):
-        exprs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-        if c in text:
-            present = F.col(c).isNotNull()
-            exprs.append(F.count_if(present & number_probe(F.col(c)).isNull()).alias(f"num{i}"))
-            for k, fmt in enumerate(DATE_FORMATS):
-                exprs.append(F.count_if(present & timestamp_probe(F.col(c), fmt).isNull()).alias(f"date{i}_{k}"))
-    facts = df.agg(*exprs).first()
-    two = [c for i, c in enumerate(df.columns) if facts[f"lo{i}"] != facts[f"hi{i}"]]
-    binary: set[str] = set()
-    if two:
-        flags = []
-        for c in two:
-            i = df.columns.index(c)
-            kind = df.schema[c].dataType
-            lo, hi = F.lit(facts[f"lo{i}"]).cast(kind), F.lit(facts[f"hi{i}"]).cast(kind)
-            flags.append(F.max((F.col(c) != lo) & (F.col(c) != hi)).alias(f"other{i}"))
-        between = df.agg(*flags).first()
-        binary = {c for c in two if not between[f"other{df.columns.index(c)}"]}
-    for i, c in enumerate(df.columns):
+    for c in two:
         kind = df.schema[c].dataType
+        lo, hi = F.lit(low[c]).cast(kind), F.lit(high[c]).cast(kind)
+        exprs.append(F.bool_or((F.col(c) != lo) & (F.col(c) != hi)).alias(f"other{at[c]}"))
+    open_probes = [key for key in probes if key not in failed and low[key[0]] != high[key[0]]]
+    exprs += [F.bool_or(probes[key]).alias(f"p{k}") for k, key in enumerate(open_probes)]
+    between = df.agg(*exprs).first() if exprs else None
+    failed |= {key for k, key in enumerate(open_probes) if between[f"p{k}"]}
+    binary = {c for c in two if not between[f"other{at[c]}"]}
+
+    for c in df.columns:
         if c in binary:
             result["binary"].append(c)
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        elif isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             result["date"].append(c)
-        elif c not in text or facts[f"num{i}"] == 0:
+        elif c not in text or (c, "number") not in failed:
             forced = c in force_symbolic or any(re.search(p, c) for p in symbolic_patterns)
             result["symbolic" if forced else "numeric"].append(c)
-        elif any(facts[f"date{i}_{k}"] == 0 for k in range(len(DATE_FORMATS))):
+        elif any((c, fmt) not in failed for fmt in DATE_FORMATS):
             result["date"].append(c)
         else:
             result["symbolic"].append(c)
