@@ -9,9 +9,10 @@ values inside the brackets and everything below them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil, floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL_CELLS = 1_000_000
@@ -102,17 +103,17 @@ def _measure(slim, brackets):
 
 
 def _bracket_values(slim, brackets):
-    """(column, value, count) of the distinct values inside any bracket."""
-    by_column: dict[str, list] = {}
-    for (c, _), edge in brackets.items():
-        by_column.setdefault(c, []).append(edge)
-    entries = []
-    for c, edges in by_column.items():
-        hit = F.lit(False)
-        for a, b in edges:
-            hit = hit | ((F.col(c) >= a) & (F.col(c) <= b))
-        entries.append(F.when(hit, F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))))
-    return slim.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy("e.c", "e.v").count()
+    """(column, value, count) of the distinct values inside the brackets that are still open."""
+    by_column: dict[str, Column] = {}
+    for (c, _), (a, b) in brackets.items():
+        if a != b:
+            hit = (F.col(c) >= a) & (F.col(c) <= b)
+            by_column[c] = by_column[c] | hit if c in by_column else hit
+    if not by_column:
+        return slim.sparkSession.createDataFrame([], "c string, v double, count long")
+    entries = [F.when(hit, F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c, hit in by_column.items()]
+    near = slim.filter(reduce(lambda x, y: x | y, by_column.values()))
+    return near.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy("e.c", "e.v").count()
 
 
 def _distinct_small(slim, brackets, limit):
@@ -134,6 +135,9 @@ def _pick(slim, columns, names, probs, counts, targets, brackets, inside):
             a, b = brackets[(c, j)]
             at = inside[(c, j)][0]
             low, high = targets[(c, j)]
+            if a == b:
+                result.append(a)
+                continue
             found = {}
             for v, count in ranked:
                 if a <= v <= b:

@@ -295,6 +295,8 @@ def knn_study(train, test, key: str, features, target: str, *, k_max=19, lag=2,
     study = Study("KNN", metric)
     start = perf_counter()
     ks = list(range(1, k_max + 1, lag))
+    columns = [features] if isinstance(features, str) else list(features)
+    train, test = (materialize(d.select(key, *columns, target), "knn-study") for d in (train, test))
     for d in distances:
         scores = {r["k"]: r[metric] for r in knn_scores(train, test, key, features, target, ks, d).collect()}
         for k in ks:
