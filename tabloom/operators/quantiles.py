@@ -56,15 +56,22 @@ def exact_quantiles(
     while True:
         narrowed = _narrow(slim, targets, brackets, inside, accuracy, slack)
         measured = _measure(slim, narrowed)
+        missed, progress = False, False
         for key, (below, count) in measured.items():
             low, high = targets[key]
             if below <= low and high < below + count:
+                progress = progress or count < inside[key][1]
                 brackets[key], inside[key] = narrowed[key], (below, count)
             else:
-                slack *= 2
+                missed = True
+        if missed:
+            slack *= 2
         pending = [k for k in targets if brackets[k][0] != brackets[k][1]]
         if sum(inside[k][1] for k in pending) <= collect_rows or _distinct_small(slim, brackets, collect_rows):
             break
+        if not progress and not missed:
+            # The sketch cannot separate these few values any further.
+            break
     return _pick(slim, columns, names, probs, counts, targets, brackets, inside)
 
 
