@@ -143,7 +143,9 @@ def describe_groups(df: DataFrame, group: str, value: str, **options) -> DataFra
 
     Quartiles come from the bounded exact routine on one column per group.
     """
-    labels = [r[0] for r in df.select(group).distinct().orderBy(group).limit(MAX_CLASSES).collect()]
+    labels = [r[0] for r in df.select(group).distinct().orderBy(group).limit(MAX_CLASSES + 1).collect()]
+    if len(labels) > MAX_CLASSES:
+        raise ValueError(f"{group} has more than {MAX_CLASSES} values; aggregate it with groupBy instead")
     wide = df.select(*[F.when(F.col(group).eqNullSafe(F.lit(v)), F.col(value)).alias(f"g{i}") for i, v in enumerate(labels)])
     summary = describe(wide, wide.columns, **options)
     rows = [(labels[i], *[summary[f"g{i}"][f] for f in SUMMARY_FIELDS]) for i in range(len(labels))]

@@ -18,7 +18,7 @@ from tabloom.operators.columns import default_missing_category
 from tabloom.operators.joins import coded_lookup
 from tabloom.operators.order import assign_row_index, group_positions
 from tabloom.operators.stages import FittedStage
-from tabloom.session import local_table
+from tabloom.session import local_table, materialize
 
 # Lighting from darkest to brightest, unknown last.
 LIGHTING_ORDER = {
@@ -218,7 +218,8 @@ class PlaceEncoder(Estimator):
             name, state = place_parts(F.col(city))
             part = df.select(state.alias("_state"), name.alias("_city"))
             places = part if places is None else places.union(part)
-        cities = group_positions(places.na.drop("any").distinct(), ["_state"], ["_city"], name="_city_code").drop("_city_code_size")
+        ranked = group_positions(places.na.drop("any").distinct(), ["_state"], ["_city"], name="_city_code")
+        cities = materialize(ranked.drop("_city_code_size"), "cities")
         states = [
             [state, r + 1, s + 1]
             for r, region in enumerate(sorted(self.region_states))
@@ -369,4 +370,6 @@ class FrequencyEncoder(Estimator):
 
     def _fit(self, df: DataFrame) -> FrequencyModel:
         present = [c for c in self.columns if c in df.columns]
-        return FrequencyModel({"columns": present}, {c: relative_frequencies(df, c, f"{c}_freq") for c in present})
+        return FrequencyModel({"columns": present}, {
+            c: materialize(relative_frequencies(df, c, f"{c}_freq"), "frequencies") for c in present
+        })

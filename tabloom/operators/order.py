@@ -180,5 +180,6 @@ def group_positions(df: DataFrame, group: Sequence[str], order_by: Sequence[str]
     keyed = ordered.df.withColumns({f"_g{i}": F.to_json(F.struct(F.col(g).alias("v"))) for i, g in enumerate(group)})
     keys = [f"_g{i}" for i in range(len(group))]
     starts = keyed.groupBy(*keys).agg(F.min("_at").alias("_start"), F.count(F.lit(1)).alias(f"{name}_size"))
-    joined = lookup_join(keyed, starts, keys)
+    # The group table is written once: its size is checked and it is joined.
+    joined = lookup_join(keyed, materialize(starts, "groups"), keys)
     return joined.select(*df.columns, (F.col("_at") - F.col("_start") + 1).alias(name), f"{name}_size")
