@@ -195,25 +195,28 @@ def knn_join(
         return empty.select("_qid", "_cid", "_d", "_rank", *[f.name for f in keep_fields]).toDF(*final_names)
 
     wanted = k + 1 if exclude_self else k
+    q_slot, c_slot = F.xxhash64("_qid"), F.xxhash64("_cid")
     if n_candidates <= block_rows:
         # One block holds all candidates: nothing to prune, so no cells are needed.
-        q, c = (d.withColumns({"_cell": F.lit(0), "_dist": F.lit(0.0)}) for d in (materialize(q, "knn-queries"), c))
-        routes, blocks = [(0, 0, 0.0)], [(0, max(1, ceil(q.count() / block_rows)), 1)]
+        q = materialize(q, "knn-queries")
+        parts = max(1, ceil(q.count() / block_rows))
+        q = q.withColumns({"_to": F.lit(0), "_a": F.pmod(q_slot, F.lit(parts)).cast("int"), "_b": F.lit(0)})
+        c = c.withColumns({"_to": F.lit(0), "_a": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "_b": F.lit(0)})
     else:
         pivots = _pivots(c, min(max_pivots, ceil(n_candidates / block_rows)))
         q = materialize(_assign_cells(q, pivots, metric), "knn-queries")
         c = materialize(_assign_cells(c, pivots, metric), "knn-cells")
         gaps = pair_distances(pivots, pivots, metric)
         routes, blocks = _routes(*_cell_facts(q, c, wanted), gaps, wanted, block_rows)
-    route_table = F.broadcast(local_table(spark, routes, "_cell int, _to int, _least double"))
-    block_table = F.broadcast(local_table(spark, blocks, "_to int, _qblocks int, _cblocks int"))
-
-    q = q.withColumnRenamed("_cell", "_to").join(block_table, "_to")
-    q = q.withColumn("_a", F.pmod(F.xxhash64("_qid"), F.col("_qblocks")).cast("int"))
-    q = q.withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_cblocks") - 1)))
-    c = c.join(route_table, "_cell").filter(F.col("_dist") >= F.col("_least")).join(block_table, "_to")
-    c = c.withColumn("_b", F.pmod(F.xxhash64("_cid"), F.col("_cblocks")).cast("int"))
-    c = c.withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("_qblocks") - 1)))
+        # At most pivots squared routes and one row per cell.
+        route_table = F.broadcast(local_table(spark, routes, "_cell int, _to int, _least double"))
+        block_table = F.broadcast(local_table(spark, blocks, "_to int, _qblocks int, _cblocks int"))
+        q = q.withColumnRenamed("_cell", "_to").join(block_table, "_to")
+        q = q.withColumn("_a", F.pmod(q_slot, F.col("_qblocks")).cast("int"))
+        q = q.withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_cblocks") - 1)))
+        c = c.join(route_table, "_cell").filter(F.col("_dist") >= F.col("_least")).join(block_table, "_to")
+        c = c.withColumn("_b", F.pmod(c_slot, F.col("_cblocks")).cast("int"))
+        c = c.withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("_qblocks") - 1)))
     block_keys = ["_to", "_a", "_b"]
     names = [f.name for f in keep_fields]
 
