@@ -111,10 +111,6 @@ def a09(t):
     return rounded(t.spark.createDataFrame(rows, "rule string, bottom double, top double"), ["bottom", "top"])
 
 
-LIMITS_SQL = """(select *, avg({c}) over () as m, stddev_samp({c}) over () as s,
-  quantile_cont({c}, 0.25) over () as a, quantile_cont({c}, 0.75) over () as b from {t})"""
-
-
 @query("a10_count_outliers", """
 with e as (select avg(value) as m, stddev_samp(value) as s, quantile_cont(value, 0.25) as a, quantile_cont(value, 0.75) as b from events),
 o as (select avg(user_id) as m, stddev_samp(user_id) as s, quantile_cont(user_id, 0.25) as a, quantile_cont(user_id, 0.75) as b from events)

@@ -8,6 +8,7 @@ the fact rows are spread over salted copies of their one lookup row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,9 @@ def lookup_join(
     if fact.isStreaming:
         return fact.join(lookup, keys, how)
     hot = F.broadcast(hot_keys(fact, keys).withColumn("_hot", F.lit(True)))
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0))
+    # Rows with a null key match nothing, so they may go anywhere.
+    loose = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.when(F.col("_hot") | loose, F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0))
     salted_fact = fact.join(hot, keys, "left").withColumn("_salt", spread.cast("int")).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_lookup = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from copy import copy as shallow_copy
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, SparkSession
@@ -145,9 +146,10 @@ class Preparation(Estimator):
         current = df
         types = variable_types(df)
         if self.cleaning is not None:
-            self.cleaning.keep |= {key, target}
-            self.cleaning.types = self.cleaning.types or types
-            stages.append(self.cleaning.fit(current))
+            cleaning = shallow_copy(self.cleaning)
+            cleaning.keep = self.cleaning.keep | {key, target}
+            cleaning.types = self.cleaning.types or types
+            stages.append(cleaning.fit(current))
             current = stages[-1].transform(current)
         for encoder in self.encoders:
             stage = encoder if isinstance(encoder, FittedStage) else encoder.fit(current)

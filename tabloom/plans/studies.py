@@ -334,10 +334,9 @@ def evaluate_approach(train: DataFrame, test: DataFrame, key: str, features: Seq
                       metric: str = "accuracy") -> DataFrame:
     """(metric, nb, knn) of the two reference learners on a prepared pair of splits.
 
-    Multinomial naive Bayes needs non-negative input, so features are shifted
-    by their training minimum for it and its relatives alike.
+    Multinomial naive Bayes needs non-negative input, so a feature with negative
+    values is shifted by its training minimum for all kinds of naive Bayes.
     """
-    a, b = assemble(train, features, target), assemble(test, features, target)
     lows = train.agg(*[F.min(c).alias(f"m{i}") for i, c in enumerate(features)]).first()
     shift = {c: F.greatest(F.col(c) - F.lit(min(0.0, float(lows[f"m{i}"] or 0.0))), F.lit(0.0)) for i, c in enumerate(features)}
     a, b = (assemble(d.withColumns(shift), features, target) for d in (train, test))

@@ -62,6 +62,8 @@ def test_lookup_join_with_a_hot_key(spark, limit):
     want = fact.join(lookup, "k", "left")
     assert joined.count() == 3000
     assert joined.agg(F.sum("v")).first() == want.agg(F.sum("v")).first()
+    gaps = fact.withColumn("k", F.when(F.col("id") % 2 == 0, F.col("k")))
+    assert lookup_join(gaps, lookup, ["k"], limit=limit, salts=4).count() == 3000
     assert members(fact, lookup, ["k"], limit=limit).count() + complement(fact, lookup, ["k"], limit=limit).count() == 3000
     assert complement(fact, lookup, ["k"], limit=limit).filter("k < 40").count() == 0
 
