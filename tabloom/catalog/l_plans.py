@@ -70,7 +70,7 @@ DROPPED_SQL = """dropped as (select distinct feature from (select b.feature, a.f
 FLAGSHIP_SQL = f"""
 with {LONG_SQL}, {DROPPED_SQL}
 select case when train then 'train' else 'test' end as split, feature, count(*) as n,
-  round(avg(case when hi > lo then (x - lo) / (hi - lo) else 0 end), 5) as mean
+  round(avg(case when hi > lo then (x - lo) / (hi - lo) else 0 end), 7) as mean
 from f join fit using (feature) where feature not in (select feature from dropped) group by 1, 2
 """
 
@@ -78,7 +78,7 @@ from f join fit using (feature) where feature not in (select feature from droppe
 @query("l02_flagship_preparation", FLAGSHIP_SQL)
 def l02(t):
     model = order_preparation(scaling="minmax", feature_selection="redundant", min_threshold=0.9).fit(customer_orders(t))
-    return rounded(feature_means(model.prepared, model.features, ["split"]), ["mean"], 5)
+    return rounded(feature_means(model.prepared, model.features, ["split"]), ["mean"], 7)
 
 
 @query("l01_configured_preparation", f"""
@@ -104,7 +104,7 @@ def l02_balance(t):
 
 @query("l03_transform_saved", f"""
 with {LONG_SQL}, {DROPPED_SQL}
-select feature, count(*) as n, round(avg(case when hi > lo then (x - lo) / (hi - lo) else 0 end), 5) as mean
+select feature, count(*) as n, round(avg(case when hi > lo then (x - lo) / (hi - lo) else 0 end), 7) as mean
 from f join fit using (feature) where feature not in (select feature from dropped) group by 1
 """)
 def l03(t):
@@ -112,7 +112,7 @@ def l03(t):
     path = scratch_path(t.spark, "preparation")
     fitted.save(t.spark, path)
     model = load_preparation(t.spark, path)
-    return rounded(feature_means(model.transform(customer_orders(t)), model.features, []), ["mean"], 5)
+    return rounded(feature_means(model.transform(customer_orders(t)), model.features, []), ["mean"], 7)
 
 
 @query("l04_kept_types", """
