@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabloom.llm.chat_format import CHAT_SQL, control_conversation, format_turns, read_back
 from tabloom.llm.jaccard_forest import jaccard_join
 from tabloom.llm.language_id import identify
+from tabloom.llm.license_scan import license_sql, scan_licenses
+from tabloom.llm.piece_encoding import encode_texts
 from tabloom.llm.substring_dedup import remove_repeats
+from tabloom.llm.url_filter import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +31,27 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_language_profiles, op2_jaccard_forest, op3_substring_dedup)
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_turns(turns.unionByName(control_conversation(spark))))
+
+
+def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(_table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (
+    op1_language_profiles, op2_jaccard_forest, op3_substring_dedup, op6_url_filter, op7_chat_format, op9_piece_encoding, op10_license_scan,
+)
+_SQL = {"op7_chat_format": CHAT_SQL, "op10_license_scan": license_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -35,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

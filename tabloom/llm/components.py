@@ -29,10 +29,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             moved = roots.select(F.col("node").alias("component"), F.col("component").alias("lower"))
             labels = labels.join(moved, "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
         labels = materialize(labels, "components")
-        ends = rest
-        for side in ("u", "v"):
-            ends = (ends.join(roots.withColumnsRenamed({"node": side, "component": "root"}), side, "left")
-                    .withColumn(side, F.coalesce("root", side)).drop("root"))
+        ends = _relabel(_relabel(rest, "u", roots), "v", roots)
         contracted = ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
         rest = materialize(contracted, "edges")
     if labels is None:
@@ -40,14 +37,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return labels.unionByName(alone.join(labels, "node", "left_anti"))
 
 
+def _relabel(edges: DataFrame, side: str, roots: DataFrame) -> DataFrame:
+    """``edges`` with one end replaced by its root; ends are looked up once each, so a hot one costs one row unless it moves."""
+    moves = materialize(
+        edges.select(side).distinct().join(roots.withColumnsRenamed({"node": side, "component": "root"}), side), "moves")
+    if moves.isEmpty():
+        return edges
+    return edges.join(moves, side, "left").withColumn(side, F.coalesce("root", side)).select("u", "v")
+
+
 def _roots(edges: DataFrame) -> DataFrame:
     """(node, component): where the smallest-neighbour pointers of ``edges`` (u > v) end."""
     links = materialize(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")), "links")
     while True:
         above = links.select(F.col("node").alias("component"), F.col("component").alias("lower"))
-        jumped = materialize(links.join(above, "component", "left").select(
-            "node", F.coalesce("lower", "component").alias("component"), F.col("lower").isNotNull().alias("moved")), "links")
-        moved = not jumped.where("moved").isEmpty()
-        links = jumped.drop("moved")
-        if not moved:
+        moves = materialize(links.select("component").distinct().join(above, "component"), "moves")
+        if moves.isEmpty():
             return links
+        links = materialize(links.join(moves, "component", "left").select("node", F.coalesce("lower", "component").alias("component")), "links")

@@ -158,8 +158,9 @@ def suspected_windows(docs: DataFrame, bits, cells: int, window: int, anchor: in
 
 def repeated_starts(windows: DataFrame) -> DataFrame:
     """(doc_id, starts): first words of the windows that also start in a document of smaller doc_id."""
-    origin = (windows.groupBy("hash").agg(F.min("doc_id").alias("origin"), F.max("doc_id").alias("last"))
-              .where("last > origin").drop("last"))
+    # Written, so that the join below deals both sides anew and a hot window's rows can be split over tasks.
+    origin = materialize(windows.groupBy("hash").agg(F.min("doc_id").alias("origin"), F.max("doc_id").alias("last"))
+                         .where("last > origin").drop("last"), "origins")
     later = windows.join(origin, "hash").where("doc_id > origin").select("doc_id", "start")
     return later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
 
