@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.llm.chat_format import CHAT_SQL, control_conversation, format_turns, read_back
+from tabloom.llm.decontaminate import contaminated
+from tabloom.llm.embedding_dedup import near_duplicates
 from tabloom.llm.jaccard_forest import jaccard_join
 from tabloom.llm.language_id import identify
 from tabloom.llm.license_scan import license_sql, scan_licenses
+from tabloom.llm.line_dedup import repeated_lines
 from tabloom.llm.piece_encoding import encode_texts
 from tabloom.llm.substring_dedup import remove_repeats
 from tabloom.llm.url_filter import filter_urls
@@ -31,6 +34,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -40,6 +51,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(turns.unionByName(control_conversation(spark))))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(_table(spark, sf_dir, "documents"))
+
+
 def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(_table(spark, sf_dir, "documents"))
 
@@ -49,7 +64,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
-    op1_language_profiles, op2_jaccard_forest, op3_substring_dedup, op6_url_filter, op7_chat_format, op9_piece_encoding, op10_license_scan,
+    op1_language_profiles, op2_jaccard_forest, op3_substring_dedup, op4_benchmark_decontamination, op5_embedding_dedup,
+    op6_url_filter, op7_chat_format, op8_line_dedup, op9_piece_encoding, op10_license_scan,
 )
 _SQL = {"op7_chat_format": CHAT_SQL, "op10_license_scan": license_sql()}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,16 @@ def _roots(edges: DataFrame) -> DataFrame:
         if moves.isEmpty():
             return links
         links = materialize(links.join(moves, "component", "left").select("node", F.coalesce("lower", "component").alias("component")), "links")
+
+
+def smallest_reachable(nodes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """For each of ``nodes`` the smallest node its component holds; ``pairs`` are index pairs, all in one task."""
+    low = nodes.copy()
+    while len(pairs):
+        before = low.copy()
+        least = np.minimum(low[pairs[:, 0]], low[pairs[:, 1]])
+        np.minimum.at(low, pairs[:, 0], least)
+        np.minimum.at(low, pairs[:, 1], least)
+        if np.array_equal(before, low):
+            break
+    return low

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.components import connected_components
+from tabloom.llm.components import connected_components, smallest_reachable
 from tabloom.llm.words import bound_batches, mix, shingle_sets, split_words, text_slices
 from tabloom.session import materialize
 
@@ -174,20 +174,6 @@ def _verify(left: dict, right: dict, same: bool, threshold: float, depth: int, t
     return linked, float(linked.sum()), float((1.0 / chance).sum())
 
 
-def _forest_roots(n: int, pairs: np.ndarray) -> np.ndarray:
-    """The smallest index reachable from each of n indices, by repeated minimum over the pairs."""
-    root = np.arange(n)
-    while len(pairs):
-        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
-        before = root.copy()
-        np.minimum.at(root, pairs[:, 0], low)
-        np.minimum.at(root, pairs[:, 1], low)
-        root = root[root]
-        if np.array_equal(before, root):
-            break
-    return root
-
-
 def _links_in_blocks(rows: DataFrame, threshold: float, trees: int, max_depth: int, depth: int) -> DataFrame:
     """Verify the rows of each unit; (rep, weight, root, found, expected) per class and unit."""
     schema = pa.schema([("rep", pa.int64()), ("weight", pa.int64()), ("root", pa.int64()), ("found", pa.float64()), ("expected", pa.float64())])
@@ -221,12 +207,7 @@ def _links_in_blocks(rows: DataFrame, threshold: float, trees: int, max_depth: i
             shift = 0 if same else len(first)
             weight[:len(first)] += linked @ copies[second]
             weight[shift:shift + len(second)] += linked.T @ copies[first]
-            by_rep = np.argsort(rep[both])
-            place = np.empty(len(both), dtype=np.int64)
-            place[by_rep] = np.arange(len(both))
-            pairs = np.argwhere(linked) + [0, shift]
-            roots = _forest_roots(len(both), place[pairs])
-            root = rep[both][by_rep][roots[place]]
+            root = smallest_reachable(rep[both], np.argwhere(linked) + [0, shift])
             share = np.zeros(len(both))
             share[0] = 1
             out.append(pa.table([rep[both], weight, root, share * found, share * expected], schema=schema))
