@@ -27,8 +27,8 @@ from tabloom.llm.words import bound_batches, text_slices
 
 SPACE = "▁"
 _LEAF = -1
-_CACHE_WORDS = 400_000
-_CACHE_PAIRS = 600_000
+_CACHE_WORDS = 1_000_000
+_CACHE_PAIRS = 800_000
 
 
 class PieceModel:
@@ -42,6 +42,7 @@ class PieceModel:
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
         self.text_of = pieces
         self.hidden = {i for i in range(len(pieces)) if model.is_control(i)}
+        self.plain_text = set(range(len(pieces))) - self.hidden - set(self.bytes_of)
         self.ids = {pieces[i]: i for i in range(len(pieces)) if i not in special}
         if len(self.byte_ids) != 256:
             raise ValueError("the model has no byte fallback")
@@ -56,6 +57,8 @@ class PieceModel:
         lowest = min((model.get_score(i) for i in order), default=0)
         if any(model.get_score(self.ids[SPACE * n]) >= lowest for n in self.space_runs if n > 1):
             raise ValueError("runs of spaces are merged before words")
+        self.pairs = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.letters = {p for p in words if len(p) == 1 and p != SPACE}
         self.newline = "\n" not in "".join(self.ids)
         self.split: dict[int, tuple[int, int]] = {}
         self._compatible: dict[int, bool] = {}
@@ -98,13 +101,10 @@ class PieceModel:
         of the merge just undone, or equal and further left; then the pair
         cannot arise.
         """
-        pair = left << 32 | right
-        known = self._compatible.get(pair)
-        if known is None:
-            if len(self._compatible) > _CACHE_PAIRS:
-                self._compatible.clear()
-            known = self._compatible[pair] = self._undo(left, right)
-        return known
+        if len(self._compatible) > _CACHE_PAIRS:
+            self._compatible.clear()
+        found = self._compatible[left << 32 | right] = self._undo(left, right)
+        return found
 
     def _undo(self, left: int, right: int) -> bool:
         rank, split, text, ids = self.rank, self.split, self.text_of, self.ids
@@ -126,27 +126,26 @@ class PieceModel:
 
     def word_ids(self, word: str) -> list[int]:
         """Tokens of a chunk whose characters the vocabulary knows, with a space at its start at most."""
-        last: list[int] = []
-        size: list[int] = []
-        compatible = self.compatible
-        ends: list[list[tuple[int, int]]] = [[] for _ in word]
-        for end, match in self.automaton.iter(word):
-            ends[end].append(match)
-        for end, matches in enumerate(ends):
-            for token, n in matches:
-                start = end + 1 - n
-                if start == 0 or compatible(last[start - 1], token):
-                    last.append(token)
-                    size.append(n)
-                    break
-            else:
-                raise ValueError(f"no token ends the prefix {word[:end + 1]!r}")
-        out = []
-        at = len(word)
+        last, size = [-1] * (len(word) + 1), [0] * (len(word) + 1)
+        known = self._compatible
+        for end, (token, n) in self.automaton.iter(word):
+            end += 1
+            if last[end] >= 0:
+                continue
+            if n < end:
+                before = last[end - n]
+                fits = known.get(before << 32 | token)
+                if fits is None:
+                    fits = self.compatible(before, token)
+                if not fits:
+                    continue
+            last[end], size[end] = token, n
+        out, at = [], len(word)
         while at:
-            out.append(last[at - 1])
-            at -= size[at - 1]
-        return out[::-1]
+            out.append(last[at])
+            at -= size[at]
+        out.reverse()
+        return out
 
     def _run_ids(self, n: int) -> list[int]:
         """Tokens of n spaces: the longest run in the vocabulary first, again and again."""
@@ -160,6 +159,8 @@ class PieceModel:
         """Tokens of any chunk: spaces, then characters other than spaces."""
         body = chunk.lstrip(SPACE)
         spaces = len(chunk) - len(body)
+        if body and spaces < 2 and self.letters.issuperset(body):
+            return self.word_ids(chunk)
         out: list[int] = []
         known = self.ids
         pending = SPACE if spaces and body else ""
@@ -186,6 +187,9 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """Text of the tokens, spaces restored, without the space put before the first word."""
+        if self.plain_text.issuperset(ids):
+            text = "".join(map(self.text_of.__getitem__, ids)).replace(SPACE, " ")
+            return text[1:] if text.startswith(" ") else text
         out: list[str] = []
         held = bytearray()
         for i in ids:
@@ -203,58 +207,93 @@ class PieceModel:
         return text[1:] if text.startswith(" ") else text
 
 
+class _Words(dict):
+    """Ids by word; when full, the older half is dropped unless it is asked for again."""
+
+    def __init__(self, make: Callable[[str], str], limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit // 2, {}
+
+    def __missing__(self, word: str) -> str:
+        found = self.older.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Encoder:
     """Whole texts through a PieceModel, with the results of words met before.
 
-    A word is kept as (number of ids, ids as text with a comma before each,
-    decoded text).  Words at the start of a line carry no space.
+    A word's result is its decimal ids, each after a comma.  Its ids are
+    decoded when they are found; only a word that decodes to something else
+    than itself keeps that text too.  Words at the start of a line carry no
+    space.  Inside a word, two characters that stand side by side in no piece
+    part it into words of their own, so "word," costs no second search.
     """
 
     def __init__(self, model: PieceModel, words: int = _CACHE_WORDS):
-        self.model, self.limit = model, words
-        self.spaced: dict[str, tuple[int, str, str]] = {}
-        self.plain: dict[str, tuple[int, str, str]] = {}
-        self.chunks = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-
-    def _entry(self, chunk: str) -> tuple[int, str, str]:
-        ids = self.model.chunk_ids(chunk)
-        return len(ids), "".join(f",{i}" for i in ids), self.model.decode([self.model.ids[SPACE], *ids])
-
-    def _fill(self, kept: dict, words: set, lead: str) -> None:
-        if len(kept) > self.limit:
-            kept.clear()
-        for w in words.difference(kept):
-            kept[w] = self._entry(lead + w)
+        self.model = model
+        self.spaced = _Words(lambda w: self._entry(SPACE, w), words)
+        self.plain = _Words(lambda w: self._entry("", w), words // 2)
+        self.altered: dict[tuple[str, str], str] = {}
+        self.chunks = re.compile(f"({SPACE}*)([^{SPACE}]*)")
+        self.decimal = [f",{i}" for i in range(len(model.text_of))]
+        self.space_id = model.ids[SPACE]
+
+    def _entry(self, lead: str, word: str) -> str:
+        pairs = self.model.pairs
+        for k in range(len(word) - 1):
+            if word[k:k + 2] not in pairs:
+                first = self.spaced[word[:k + 1]] if lead else self.plain[word[:k + 1]]
+                found = first + self.plain[word[k + 1:]]
+                if self.altered:
+                    self._note(lead, word, [int(i) for i in found.split(",")[1:]])
+                return found
+        ids = self.model.chunk_ids(lead + word)
+        self._note(lead, word, ids)
+        return "".join(map(self.decimal.__getitem__, ids))
+
+    def _note(self, lead: str, word: str, ids: list[int]) -> None:
+        text = self.model.decode([self.space_id, *ids])
+        if text != (" " if lead else "") + word:
+            self.altered[lead, word] = text
+
+    def _decoded(self, lead: str, word: str) -> str:
+        return self.altered.get((lead, word), (" " if lead else "") + word)
 
     def encode(self, text: str) -> tuple[int, str, str]:
         """(number of ids, decimal ids joined by commas, text decoded from them)."""
         if not text:
             return 0, "", ""
         lines = text.replace(SPACE, " ").split("\n") if self.model.newline else [text.replace(SPACE, " ")]
-        count, ids, decoded = 0, [], []
-        for k, line in enumerate(lines):
-            if k:
-                count += 1
-                ids.append(f",{self.model.byte_ids[10]}")
-                decoded.append("\n")
-            n, a, b = self._line(line, bool(k))
-            count += n
-            ids.extend(a)
-            decoded.extend(b)
-        whole = "".join(decoded)
-        return count, "".join(ids)[1:], whole[1:] if whole.startswith(" ") else whole
-
-    def _line(self, line: str, later: bool) -> tuple[int, list[str], list[str]]:
+        between = self.decimal[self.model.byte_ids[10]]
+        done = [self._line(line, bool(k)) for k, line in enumerate(lines)]
+        ids, whole = between.join([d[0] for d in done]), "\n".join([d[1] for d in done])
+        return ids.count(","), ids[1:], whole[1:] if whole.startswith(" ") else whole
+
+    def _line(self, line: str, later: bool) -> tuple[str, str]:
+        """(ids, decoded text) of one line; the first one has a space before it."""
+        if later and not line:
+            return "", ""
         words = line.split(" ")
-        if "" in words[1:] or len(words) == 1 and not line or words[0] == "":
-            found = [self._entry(c) for c in self.chunks.findall((("" if later else " ") + line).replace(" ", SPACE))]
-        else:
-            first, rest = (words[:1], words[1:]) if later else ([], words)
-            self._fill(self.plain, set(first), "")
-            self._fill(self.spaced, set(rest), SPACE)
-            found = [self.plain[w] for w in first]
-            found += map(self.spaced.__getitem__, rest)
-        return sum(f[0] for f in found), [f[1] for f in found], [f[2] for f in found]
+        if "" in words:
+            return self._wide_line(line if later else " " + line)
+        decoded = line if later else " " + line
+        ids = self.plain[words[0]] + "".join(map(self.spaced.__getitem__, words[1:])) if later else "".join(map(self.spaced.__getitem__, words))
+        if self.altered:
+            decoded = "".join([self._decoded("" if later and not k else SPACE, w) for k, w in enumerate(words)])
+        return ids, decoded
+
+    def _wide_line(self, line: str) -> tuple[str, str]:
+        """A line with spaces side by side or at an end: spaces and the word after them go together."""
+        ids: list[int] = []
+        for spaces, word in self.chunks.findall(line.replace(" ", SPACE)):
+            ids += self.model.chunk_ids(spaces + word) if spaces or word else []
+        return "".join(map(self.decimal.__getitem__, ids)), self.model.decode([self.space_id, *ids])
 
 
 _encoders: dict[str, Encoder] = {}
