@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabloom.llm.decontaminate import without_contaminated
+from tabloom.llm.jaccard_forest import one_of_each
 from tabloom.llm.language_id import recognised
+from tabloom.llm.line_dedup import without_repeated_lines
+from tabloom.llm.piece_encoding import encode_texts
 from tabloom.session import scratch_path
 
 
@@ -13,9 +17,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return recognised(docs)
 
 
-STAGES = [("language", language)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand, or nearly stand, further up; those left without text go."""
+    return without_repeated_lines(docs)
 
-#: Rank-order profiles, MinHash and SimHash have no SQL form; the tests compare run() with brute force.
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies."""
+    return one_of_each(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark table."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the remaining texts, with digests of the ids and of the text decoded from them."""
+    return encode_texts(docs, with_ids=True).drop("decoded")
+
+
+STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("benchmark", benchmark), ("encode", encode)]
+
+#: Rank-order profiles, MinHash and SimHash have no SQL form; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.components import connected_components, smallest_reachable
+from tabloom.llm.joins import short_list
 from tabloom.llm.words import bound_batches, mix, shingle_sets, split_words, text_slices
 from tabloom.session import materialize
 
@@ -278,3 +279,17 @@ def _links_at(docs, classes, size, threshold, trees, max_depth, depth, block):
     links = materialize(_links_in_blocks(rows, threshold, trees, max_depth, depth), "links")
     got = links.agg(F.sum("found").alias("found"), F.sum("expected").alias("expected")).first()
     return links, (got["found"] / got["expected"] if got["expected"] else 1.0)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when each class of near-copies keeps its smallest doc_id, once.
+
+    Rows without a doc_id stay.
+    """
+    judged = materialize(jaccard_join(docs), "judged")
+    gone = materialize(judged.where("not kept").select("doc_id").distinct(), "gone")
+    kept = docs.join(short_list(gone), "doc_id", "left_anti").select(docs.columns)
+    repeated = judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))

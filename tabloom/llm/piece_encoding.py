@@ -19,6 +19,7 @@ import re
 from collections.abc import Callable
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -331,7 +332,7 @@ def encode_texts(docs: DataFrame, model: Callable[[], str] = default_model, with
                        pa.array([digest(f[1]) for f in found], pa.string()), pa.array([digest(f[2]) for f in found], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns += [pa.array([[int(x) for x in f[1].split(",") if x] for f in found], pa.list_(pa.int32())), pa.array([f[2] for f in found], pa.string())]
+                columns += [pa.array([np.fromstring(f[1], dtype=np.int32, sep=",") for f in found], pa.list_(pa.int32())), pa.array([f[2] for f in found], pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
