@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.joins import short_list
 from tabloom.session import materialize
 
 SHINGLE_WORDS = 5
@@ -23,8 +24,6 @@ THRESHOLD = 0.8
 #: At similarity 0.8 two fingerprints of 128 bits differ in 19 bits on average, in more than this about twice in a thousand.
 RADIUS = 31
 _BLOCKS, _BLOCK_BITS = 8, 16
-#: Up to this many item shingles (16 MB) the list is sent to every task; a longer one is joined by shuffle.
-BROADCAST_SHINGLES = 1_000_000
 
 
 def words_of(text: Column | str) -> Column:
@@ -77,7 +76,8 @@ def within_radius(windows: DataFrame, items: DataFrame, radius: int = RADIUS) ->
     probes = (items.select("item_id", "n", F.col("low").alias("item_low"), F.col("high").alias("item_high"), F.posexplode(_block_values()).alias("block", "value"))
               .withColumn("value", F.explode(F.transform(F.lit(near), lambda m: F.col("value").bitwiseXOR(m.cast("long"))))))
     keys = windows.select("doc_id", "start", "n", "low", "high", F.posexplode(_block_values()).alias("block", "value"))
-    met = keys.join(probes, ["n", "block", "value"])
+    # Sizes are estimated before explode, so without the hint the many probes would be broadcast.
+    met = keys.join(probes.hint("merge"), ["n", "block", "value"])
     apart = F.bit_count(F.col("low").bitwiseXOR(F.col("item_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("item_high")))
     return met.where(apart <= radius).select("doc_id", "start", "n", "item_id").distinct()
 
@@ -94,13 +94,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WOR
     listed = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") >= width).dropDuplicates()
     item_shingles = materialize(_shingles(listed.withColumn("n", F.size("words")), width), "items")
     texts = docs.select("doc_id", words_of(F.col("text")).alias("words")).where("doc_id is not null")
-    wanted = item_shingles.select("shingle", "n", F.col("place").alias("item_place")).distinct()
-    if item_shingles.count() <= BROADCAST_SHINGLES:
-        wanted = F.broadcast(wanted)
+    wanted = short_list(materialize(item_shingles.select("shingle", "n", F.col("place").alias("item_place")).distinct(), "wanted"))
     met = _shingles(texts.withColumn("length", F.size("words")), width).join(wanted, "shingle")
     first = F.greatest(F.lit(0), F.least(F.col("place") - F.col("item_place"), F.col("length") - F.col("n")))
     spots = materialize(met.select("doc_id", first.alias("start"), "n").distinct(), "spots")
-    by_doc = spots.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("spots"))
+    by_doc = materialize(spots.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("spots")), "documents")
+    by_doc = short_list(by_doc)
     cut = (docs.select("doc_id", "text").join(by_doc, "doc_id").select("doc_id", words_of(F.col("text")).alias("whole"), "spots")
            .select("doc_id", "whole", F.explode("spots").alias("spot"))
            .select("doc_id", "spot.start", "spot.n", F.slice("whole", F.col("spot.start") + 1, F.col("spot.n")).alias("words")))
@@ -123,4 +122,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WOR
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no benchmark item was found."""
     found = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti")
+    return docs.join(short_list(found), "doc_id", "left_anti")
