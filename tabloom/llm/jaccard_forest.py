@@ -226,19 +226,21 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: float =
     rows a row is linked to, copies included; class_id is the smallest doc_id
     reachable by links; kept marks the row whose doc_id is class_id.  A text
     shorter than ``size`` words is one shingle.  A null text or one without
-    words links with nothing and is kept.  A row that repeats a doc_id counts
-    as one more row; with another text, its links add to that doc_id's.
+    words links with nothing and is kept, as does a row without a doc_id.  A
+    row that repeats a doc_id counts as one more row; with another text, its
+    links add to that doc_id's.
     Other columns are not read.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    signed = materialize(signatures(docs, size, trees, max_depth), "signatures")
+    named = docs.where("doc_id is not null").select("doc_id", "text")
+    signed = materialize(signatures(named, size, trees, max_depth), "signatures")
     classes = materialize(
         signed.where("set_a is not null").groupBy("set_a", "set_b")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("signature").alias("signature")), "classes")
     depth = prefix_depth(threshold, trees, max_depth, target_recall)
     while True:
-        links, recall = _links_at(docs, classes, size, threshold, trees, max_depth, depth, block)
+        links, recall = _links_at(named, classes, size, threshold, trees, max_depth, depth, block)
         if recall >= target_recall or depth == 1:
             break
         depth -= 1
@@ -249,6 +251,7 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: float =
         .select("set_a", "set_b", F.coalesce("component", "rep").alias("class_id"),
                 (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links")), "classes")
     out = signed.select("doc_id", "set_a", "set_b").join(found, ["set_a", "set_b"], "left")
+    out = out.unionByName(docs.where("doc_id is null").select(F.col("doc_id").cast("long")), allowMissingColumns=True)
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
