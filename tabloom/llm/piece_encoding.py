@@ -28,8 +28,8 @@ from tabloom.llm.words import bound_batches, text_slices
 
 SPACE = "▁"
 _LEAF = -1
-_CACHE_WORDS = 1_000_000
-_CACHE_PAIRS = 800_000
+_CACHE_WORDS = 250_000
+_CACHE_PAIRS = 300_000
 
 
 class PieceModel:
