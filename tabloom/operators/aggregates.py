@@ -24,8 +24,10 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def value_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form (variable, value) with every value as text."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "variable", "value")
+    """Long form (variable, value) with every value as text; -0.0 is 0.0."""
+    kinds = dict(df.dtypes)
+    plain = {c: F.col(c) + F.lit(0.0).cast(kinds[c]) if kinds.get(c) in ("float", "double") else F.col(c) for c in columns}
+    return df.select(*[plain[c].cast("string").alias(c) for c in columns]).unpivot([], list(columns), "variable", "value")
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str], *, keep_null: bool = False) -> DataFrame:

@@ -118,7 +118,6 @@ def lag_pairs(ordered: Ordered, column: str, lags: Sequence[int], *, block_rows:
 
 # Seconds per unit of a grid step.
 STEP_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
-GRID_CHUNK = 10_000
 
 
 def step_seconds(step: str) -> int:

@@ -149,9 +149,11 @@ def logistic_regression_study(train, test, *, max_iterations=5000, lag=500, metr
 
 
 def decision_tree_study(train, test, *, max_depth=10, lag=2, metric="accuracy", parallelism=4) -> Study:
+    if max_depth > 30:
+        raise ValueError("trees are at most 30 deep")
     grid = [
         ({"impurity": c, "depth": d},
-         lambda c=c, d=d: DecisionTreeClassifier(impurity=c, maxDepth=min(d, 30), seed=SEED).fit(train))
+         lambda c=c, d=d: DecisionTreeClassifier(impurity=c, maxDepth=d, seed=SEED).fit(train))
         for c in ("entropy", "gini") for d in range(2, max_depth + 1, lag)
     ]
     return run_study("DT", grid, test, metric, parallelism)
