@@ -8,8 +8,9 @@ from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabloom.operators.quantiles import exact_quantiles
+from tabloom.operators.quantiles import exact_quantiles, known_number
 from tabloom.session import local_table
 
 
@@ -67,10 +68,12 @@ def relative_frequencies(df: DataFrame, column: str, name: str = "freq") -> Data
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent value per column as text; the smallest one wins a tie."""
+    """Most frequent value per column as text; of equally frequent ones the smallest, numbers compared as numbers."""
+    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
     counted = value_frequencies(df, columns)
+    order = F.struct(F.when(F.col("variable").isin(numeric), F.expr("try_cast(value as double)")), F.col("value"))
     top = F.broadcast(counted.groupBy("variable").agg(F.max("n").alias("n")))
-    return counted.join(top, ["variable", "n"]).groupBy("variable", "n").agg(F.min("value").alias("value"))
+    return counted.join(top, ["variable", "n"]).groupBy("variable", "n").agg(F.min_by("value", order).alias("value"))
 
 
 @dataclass
@@ -110,11 +113,11 @@ SUMMARY_FIELDS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def describe(df: DataFrame, columns: Sequence[str], **options) -> dict[str, dict]:
-    """count, mean, sample std, min, quartiles and max of each column, on the driver."""
+    """count, mean, sample std, min, quartiles and max of each column, on the driver; null and NaN are missing."""
     columns = list(columns)
     exprs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
+        x = known_number(F.col(c))
         exprs += [
             F.count(x).alias(f"count{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
             F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
@@ -229,8 +232,8 @@ def bin_index(x: Column, low: float, high: float, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, column: str, bins: int | str = 10, *, density: bool = False, **options) -> DataFrame:
-    """Equal-width histogram, empty bins included."""
-    x = F.col(column).cast("double")
+    """Equal-width histogram, empty bins included; null and NaN are missing."""
+    x = known_number(F.col(column))
     if bins == "auto":
         facts = describe(df, [column], **options)[column]
         bins = bin_count_auto(facts)
@@ -238,6 +241,8 @@ def histogram(df: DataFrame, column: str, bins: int | str = 10, *, density: bool
         facts = df.agg(F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max")).first().asDict()
     if not facts["count"]:
         return local_table(df.sparkSession, [], "bin int, low double, high double, n long")
+    if bins >= 2**31:
+        raise ValueError(f"{column} would need {bins} bins of equal width; give their number")
     low, high = facts["min"], facts["max"]
     counted = (
         df.filter(x.isNotNull()).groupBy(bin_index(x, low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -245,11 +250,11 @@ def histogram(df: DataFrame, column: str, bins: int | str = 10, *, density: bool
     if high == low:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
-    edges = local_table(
-        df.sparkSession, [(i, low + i * width, low + (i + 1) * width) for i in range(bins)],
-        "bin int, low double, high double",
-    )
-    out = edges.join(F.broadcast(counted), "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    at = F.col("id").cast("double")
+    # A heavy tail gives any number of bins, so they are made by tasks.
+    edges = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), (F.lit(low) + at * F.lit(width)).alias("low"), (F.lit(low) + (at + 1) * F.lit(width)).alias("high"))
+    out = edges.join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     if density:
         out = out.withColumn("density", F.col("n") / F.lit(float(facts["count"]) * width))
     return out

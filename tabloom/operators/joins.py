@@ -1,7 +1,7 @@
 """Joins that decide their strategy from a checked size.
 
-A lookup side is broadcast only when its row count was found to be below a
-limit.  Beyond it the lookup is shuffled, and keys that hold a large share of
+A lookup side is broadcast only when its rows and bytes were found to be below
+limits.  Beyond it the lookup is shuffled, and keys that hold a large share of
 the fact rows are spread over salted copies of their one lookup row.
 """
 
@@ -9,24 +9,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 << 20
 HOT_SHARE = 0.001
-SALTS = 64
 
 
-def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``limit`` rows; stops counting just above it."""
-    return df.limit(limit + 1).count() <= limit
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``limit`` rows and its values about ``max_bytes``; counted per task, no rows move."""
+    fixed = sum(isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema)
+    wide = [f.name for f in df.schema if not isinstance(f.dataType, T.AtomicType) or isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in wide), F.lit(8 * fixed)).cast("long")
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= limit and size <= max_bytes
 
 
 def hot_keys(fact: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Key combinations that hold more than ``share`` of the rows: at most ``1/share``."""
-    total = fact.count()
-    return fact.groupBy(*keys).count().filter(F.col("count") > total * share).select(*keys)
+    """(keys, parts): combinations that hold more than ``share`` of the rows, at most ``1/share``, and how many shares each holds."""
+    limit = fact.count() * share
+    hot = fact.groupBy(*keys).count().filter(F.col("count") > limit)
+    return hot.select(*keys, F.ceil(F.col("count") / F.lit(limit)).cast("int").alias("parts"))
 
 
 def lookup_join(
@@ -36,20 +43,21 @@ def lookup_join(
     *,
     how: str = "left",
     limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
-    """Join ``fact`` with a lookup that has one row per key."""
+    """Join ``fact`` with a lookup that has one row per key; a hot key is spread in proportion to its rows, ``salts`` ways at least."""
     keys = list(keys)
     if is_small(lookup, limit):
         return fact.join(F.broadcast(lookup), keys, how)
     if fact.isStreaming:
         return fact.join(lookup, keys, how)
-    hot = F.broadcast(hot_keys(fact, keys).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(fact, keys).withColumn("_hot", F.greatest("parts", F.lit(salts))).drop("parts"))
     # Rows with a null key match nothing, so they may go anywhere.
     loose = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.when(F.col("_hot") | loose, F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0))
+    parts = F.when(loose, F.lit(ceil(1 / HOT_SHARE))).otherwise(F.coalesce("_hot", F.lit(1)))
+    spread = F.pmod(F.xxhash64(*fact.columns), parts)
     salted_fact = fact.join(hot, keys, "left").withColumn("_salt", spread.cast("int")).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce("_hot", F.lit(1)) - 1)
     salted_lookup = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     joined = salted_fact.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
     if how in ("left_semi", "left_anti"):

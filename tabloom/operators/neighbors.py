@@ -153,6 +153,15 @@ def _pivots(candidates: DataFrame, count: int) -> np.ndarray:
     return np.unique(np.array([r["_vec"] for r in chosen], dtype=float), axis=0)
 
 
+def _measurable(rows: DataFrame, missing: str, side: str) -> DataFrame:
+    """The rows whose features are all finite; others are refused or left out."""
+    whole = F.forall("_vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    whole = F.coalesce(whole, F.lit(False))
+    if missing == "error" and (faulty := rows.filter(~whole).count()):
+        raise ValueError(f"{faulty} {side} have a feature that is null, NaN or infinite")
+    return rows.filter(whole)
+
+
 def knn_join(
     queries: DataFrame,
     candidates: DataFrame,
@@ -164,6 +173,7 @@ def knn_join(
     metric: str = "euclidean",
     exclude_self: bool = False,
     keep: Sequence[str] = (),
+    missing: str = "error",
     block_rows: int = BLOCK_ROWS,
     max_pivots: int = MAX_PIVOTS,
 ) -> DataFrame:
@@ -171,11 +181,15 @@ def knn_join(
 
     ``features`` is a list of numeric columns or one array column.  Equal
     distances rank by candidate id.  ``exclude_self`` removes the pair of equal ids.
+    A feature that is null, NaN or infinite has no distance: with ``missing="error"``
+    such rows are counted and refused, with ``"drop"`` they are left out on both sides.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric} not recognized")
     if k < 1:
         raise ValueError("k must be at least 1")
+    if missing not in ("error", "drop"):
+        raise ValueError(f"treatment {missing} of missing features not recognized")
     spark = queries.sparkSession
     vec = F.col(features).cast("array<double>") if isinstance(features, str) else feature_vector(features)
     out_id = candidate_id if candidate_id != query_id else f"neighbor_{candidate_id}"
@@ -188,7 +202,8 @@ def knn_join(
         T.StructField("_qid", qid_type), T.StructField("_cid", cid_type), T.StructField("_d", T.DoubleType()), *keep_fields,
     ])
     final_names = [query_id, out_id, "distance", "rank", *keep]
-    c = materialize(c, "knn-candidates")
+    c = _measurable(materialize(c, "knn-candidates"), missing, "candidates")
+    q = _measurable(materialize(q, "knn-queries"), missing, "queries")
     n_candidates = c.count()
     if n_candidates == 0:
         empty = spark.createDataFrame([], schema).withColumn("_rank", F.lit(1))
@@ -198,13 +213,12 @@ def knn_join(
     q_slot, c_slot = F.xxhash64("_qid"), F.xxhash64("_cid")
     if n_candidates <= block_rows:
         # One block holds all candidates: nothing to prune, so no cells are needed.
-        q = materialize(q, "knn-queries")
         parts = max(1, ceil(q.count() / block_rows))
         q = q.withColumns({"_to": F.lit(0), "_a": F.pmod(q_slot, F.lit(parts)).cast("int"), "_b": F.lit(0)})
         c = c.withColumns({"_to": F.lit(0), "_a": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "_b": F.lit(0)})
     else:
         pivots = _pivots(c, min(max_pivots, ceil(n_candidates / block_rows)))
-        q = materialize(_assign_cells(q, pivots, metric), "knn-queries")
+        q = materialize(_assign_cells(q, pivots, metric), "knn-query-cells")
         c = materialize(_assign_cells(c, pivots, metric), "knn-cells")
         gaps = pair_distances(pivots, pivots, metric)
         routes, blocks = _routes(*_cell_facts(q, c, wanted), gaps, wanted, block_rows)

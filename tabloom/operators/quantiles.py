@@ -21,6 +21,12 @@ COLLECT_ROWS = 200_000
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+def known_number(x: Column) -> Column:
+    """The value as a double; NaN is missing."""
+    x = x.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -30,11 +36,12 @@ def exact_quantiles(
     accuracy: int = ACCURACY,
     collect_rows: int = COLLECT_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of the non-null values of each column."""
+    """Linearly interpolated quantiles of the values of each column; null and NaN are missing."""
     columns, probs = list(columns), list(probs)
     if not columns:
         return {}
-    slim = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    # NaN compares with nothing, so no bracket could ever be narrowed around it.
+    slim = df.select(*[known_number(F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)])
     names = slim.columns
     facts = slim.agg(
         *[F.count(c).alias(f"n_{c}") for c in names],

@@ -34,10 +34,13 @@ def variable_types(df: DataFrame, *, symbolic_patterns: Sequence[str] = (), forc
     second aggregate counts the rejections of the remaining ones, and tells
     whether any value lies strictly between the extremes.
     ``symbolic_patterns`` turns numeric columns whose name matches symbolic;
-    ``force_symbolic`` names columns outright.
+    ``force_symbolic`` names columns outright.  Arrays, maps and structs are symbolic.
     """
     result: dict[str, list[str]] = {k: [] for k in KINDS}
-    at = {c: i for i, c in enumerate(df.columns)}
+    nested = {f.name for f in df.schema.fields if not isinstance(f.dataType, (T.AtomicType, T.NullType))}
+    at = {c: i for i, c in enumerate(df.columns) if c not in nested}
+    if not at:
+        return result | {"symbolic": df.columns}
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.VarcharType))]
     facts = df.agg(*[fn(c).alias(f"{n}{i}") for c, i in at.items() for n, fn in (("lo", F.min), ("hi", F.max))]).first()
     low, high = ({c: facts[f"{n}{i}"] for c, i in at.items()} for n in ("lo", "hi"))
@@ -49,7 +52,7 @@ def variable_types(df: DataFrame, *, symbolic_patterns: Sequence[str] = (), forc
         extremes = df.sparkSession.createDataFrame([tuple(v[c] for c in text) for v in (low, high)], schema)
         row = extremes.agg(*[F.bool_or(p).alias(f"p{k}") for k, p in enumerate(probes.values())]).first()
         failed = {key for k, key in enumerate(probes) if row[f"p{k}"]}
-    two = [c for c in df.columns if low[c] != high[c]]
+    two = [c for c in at if low[c] != high[c]]
     exprs = []
     for c in two:
         kind = df.schema[c].dataType
@@ -62,7 +65,9 @@ def variable_types(df: DataFrame, *, symbolic_patterns: Sequence[str] = (), forc
     binary = {c for c in two if not between[f"other{at[c]}"]}
 
     for c in df.columns:
-        if c in binary:
+        if c in nested:
+            result["symbolic"].append(c)
+        elif c in binary:
             result["binary"].append(c)
         elif isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             result["date"].append(c)

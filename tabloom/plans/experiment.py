@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
-from math import ceil
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions.hashing import key_digest
 from tabloom.operators.columns import columns_of_type
 from tabloom.operators.correlation import correlations, redundant_variables
 from tabloom.plans.prep import Preparation
 from tabloom.plans.studies import evaluate_approach
 from tabloom.session import local_table, materialize
 
+ROW_KEY = "__row_key"
 STAGES = ("outliers", "scaling", "balancing", "feature_selection")
 
 
@@ -46,13 +48,25 @@ def run_experiment(config: ExperimentConfig, df: DataFrame, *, key: str, target:
     model = Preparation(key=key, target=target, **stages, **preparation).fit(df)
     prepared = materialize(model.prepared, "experiment")
     train, test = (prepared.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
-    # Synthetic rows have no key; the neighbour join needs one on every row.
-    train = train.withColumn(key, F.coalesce(F.col(key), -1 - F.monotonically_increasing_id()))
-    train = materialize(train, "experiment-train")
-    scored = evaluate_approach(train, test, key, model.features, target, config.metric)
+    # Synthetic rows have no key; the neighbour join gets one for every row, made from what the row holds.
+    row_key = F.coalesce(F.concat(F.lit("row:"), F.col(key).cast("string")), F.concat(F.lit("new:"), key_digest(model.features, 0)))
+    train, test = (materialize(d.withColumn(ROW_KEY, row_key), "experiment-split") for d in (train, test))
+    scored = evaluate_approach(train, test, ROW_KEY, model.features, target, config.metric)
     return scored.select(F.lit(config.label).alias("experiment"), "metric", "nb", "knn")
 
 
+def steps(start: float, stop: float, step: float) -> list[float]:
+    """start, start + step, ... up to ``stop``, which is included when a step meets it; exact in decimals."""
+    at, last, by = (Decimal(str(x)) for x in (start, stop, step))
+    if by <= 0:
+        raise ValueError("the step must be positive")
+    found = []
+    while at <= last:
+        found.append(float(at))
+        at += by
+    return found
+
+
 def _study(train: DataFrame, test: DataFrame, key: str, target: str, features: Sequence[str],
            options: Sequence[float], dropped_at, metric: str) -> DataFrame:
     """Score each threshold; equal column sets are scored once."""
@@ -75,7 +89,7 @@ def variance_study(train: DataFrame, test: DataFrame, key: str, target: str, *,
     names = list(features or [c for c in columns_of_type(train, "number") if c not in (key, target)])
     row = train.agg(*[F.var_samp(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)]).first()
     variance = {c: row[f"v{i}"] for i, c in enumerate(names)}
-    options = [round(i * lag, 3) for i in range(1, ceil(max_threshold / lag + lag))]
+    options = steps(lag, max_threshold, lag)
     return _study(train, test, key, target, names, options,
                   lambda t: [c for c in names if variance[c] is not None and variance[c] < t], metric)
 
@@ -86,5 +100,5 @@ def redundancy_study(train: DataFrame, test: DataFrame, key: str, target: str, *
     """Both learners at each correlation threshold from ``min_threshold`` to 1; correlations are computed once."""
     names = list(features or [c for c in columns_of_type(train, "number") if c not in (key, target)])
     found = correlations(train, names)
-    options = [round(min_threshold + i * lag, 3) for i in range(ceil((1 - min_threshold) / lag) + 1)]
+    options = steps(min_threshold, 1.0, lag)
     return _study(train, test, key, target, names, options, lambda t: redundant_variables(found, names, t, rule), metric)

@@ -184,7 +184,11 @@ class ForestPrefix(Transformer):
         self.model, self.size = model, size
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        scored = ensemble_totals(df, self.model, [self.size])
+        if self.size == len(self.model.trees):
+            return self.model.transform(df).drop("rawPrediction", "probability")
+        # A stream cannot be written on the way, so all its trees stay in one plan.
+        per_plan = self.size if df.isStreaming else TREES_PER_PLAN
+        scored = ensemble_totals(df, self.model, [self.size], per_plan)
         return scored.withColumn("prediction", ensemble_prediction(self.model, self.size)).drop(f"_at_{self.size}")
 
 
@@ -311,12 +315,19 @@ def knn_study(train, test, key: str, features, target: str, *, k_max=19, lag=2,
 KNN_GRID = (1, 5, 10, 15, 20, 25)
 
 
-def best_naive_bayes(train: DataFrame, test: DataFrame, metric: str = "accuracy") -> dict[str, float]:
-    """The five metrics of the best naive Bayes kind."""
+def best_naive_bayes(train: DataFrame, test: DataFrame, metric: str = "accuracy",
+                     shifted: tuple[DataFrame, DataFrame] | None = None) -> dict[str, float]:
+    """The five metrics of the best naive Bayes kind.
+
+    Multinomial naive Bayes takes non-negative input, so it alone is given
+    ``shifted`` = (train, test) where that is set; the others see the features as they are.
+    """
     kinds = ["gaussian", "multinomial", "bernoulli"]
-    models = [naive_bayes(k).fit(train) for k in kinds]
-    scores = score_models(list(enumerate(models)), {"test": test})
-    return _first_best([scores[(i, "test")] for i in range(len(kinds))], metric)
+    scores = []
+    for kind in kinds:
+        a, b = shifted if shifted and kind == "multinomial" else (train, test)
+        scores.append(score_models([(kind, naive_bayes(kind).fit(a))], {"test": b})[(kind, "test")])
+    return _first_best(scores, metric)
 
 
 def best_knn(train: DataFrame, test: DataFrame, key: str, features, target: str, metric: str = "accuracy") -> dict[str, float]:
@@ -337,13 +348,14 @@ def evaluate_approach(train: DataFrame, test: DataFrame, key: str, features: Seq
     """(metric, nb, knn) of the two reference learners on a prepared pair of splits.
 
     Multinomial naive Bayes needs non-negative input, so a feature with negative
-    values is shifted by its training minimum for all kinds of naive Bayes.
+    values is shifted by its training minimum, for that kind only.
     """
     lows = train.agg(*[F.min(c).alias(f"m{i}") for i, c in enumerate(features)]).first()
     shift = {c: F.greatest(F.col(c) - F.lit(min(0.0, float(lows[f"m{i}"] or 0.0))), F.lit(0.0)) for i, c in enumerate(features)}
-    a, b = (assemble(d.withColumns(shift), features, target) for d in (train, test))
-    with cached(a, b) as (a, b):
-        nb = best_naive_bayes(a, b, metric)
+    negative = any(float(lows[f"m{i}"] or 0.0) < 0 for i in range(len(features)))
+    with cached(*(assemble(d, features, target) for d in (train, test))) as (a, b):
+        shifted = tuple(assemble(d.withColumns(shift), features, target) for d in (train, test)) if negative else None
+        nb = best_naive_bayes(a, b, metric, shifted)
     knn = best_knn(train, test, key, list(features), target, metric)
     rows = [(m, nb.get(m), knn.get(m)) for m in CLASS_METRICS] if nb and knn else []
     return local_table(train.sparkSession, rows, "metric string, nb double, knn double")

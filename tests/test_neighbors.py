@@ -97,3 +97,17 @@ def test_synthetic_rows_lie_between_neighbors(spark):
     assert counts == {0: 48, 1: 48}
     again = synthetic_rows(df.repartition(7), "y", "id", COLUMNS).toPandas()
     pd.testing.assert_frame_equal(new.sort_values("synthetic_id", ignore_index=True), again.sort_values("synthetic_id", ignore_index=True))
+
+
+@pytest.mark.parametrize("block_rows", [4096, 8])
+def test_incomplete_features_are_refused_or_left_out(spark, block_rows):
+    rows = [(i, float(i)) for i in range(20)]
+    whole = spark.createDataFrame(rows, "id int, x double")
+    faulty = spark.createDataFrame([*rows, (40, None), (41, float("nan")), (42, float("inf"))], "id int, x double")
+    settings = dict(k=1, query_id="id", candidate_id="id", features=["x"], exclude_self=True, block_rows=block_rows)
+    with pytest.raises(ValueError, match="3 candidates"):
+        knn_join(whole, faulty, **settings)
+    with pytest.raises(ValueError, match="3 queries"):
+        knn_join(faulty, whole, **settings)
+    left = knn_join(faulty, faulty, missing="drop", **settings)
+    assert sorted((r["id"], r["neighbor_id"]) for r in left.collect()) == [(0, 1), *((i, i - 1) for i in range(1, 20))]

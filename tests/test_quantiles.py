@@ -92,3 +92,21 @@ def test_redundancy_rules():
     assert redundant_variables(found, list("abcd"), 0.9, "mutual") == ["a", "c"]
     with pytest.raises(ValueError):
         redundant_variables(found, list("abcd"), 0.9, "other")
+
+
+def test_nan_is_missing_in_both_ways(spark):
+    df = spark.range(100).selectExpr("cast(id as double) as v").union(spark.range(40).selectExpr("double('NaN') as v")).repartition(4)
+    assert exact_quantiles(df, ["v"])["v"] == [24.75, 49.5, 74.25]
+    assert exact_quantiles(df, ["v"], small_cells=10, accuracy=50, collect_rows=20)["v"] == [24.75, 49.5, 74.25]
+    facts = describe(df, ["v"])["v"]
+    assert (facts["count"], facts["min"], facts["max"]) == (100, 0.0, 99.0)
+
+
+def test_equally_frequent_numbers_are_compared_as_numbers(spark):
+    df = spark.createDataFrame([(9, "9"), (10, "10"), (9, "9"), (10, "10")], "n int, s string")
+    assert {r["variable"]: r["value"] for r in most_frequent(df, ["n", "s"]).collect()} == {"n": "9", "s": "10"}
+
+
+def test_histogram_has_bins_without_rows(spark):
+    df = spark.createDataFrame([(0.0,), (10.0,), (float("nan"),)], "v double")
+    assert [(r["bin"], r["n"]) for r in histogram(df, "v", 5).orderBy("bin").collect()] == [(0, 1), (1, 0), (2, 0), (3, 0), (4, 1)]
