@@ -326,3 +326,9 @@ def test_own_licence_list(spark):
     listed = spark.createDataFrame([("B", "Use it."), ("A", "use IT"), ("C", "")], "license string, text string")
     got = scan_licenses(table(spark, [(1, "Use it!"), (1, "use it"), (2, "used it")]), listed).collect()
     assert [(r["doc_id"], r["text_license"], r["n_units"]) for r in got] == [(1, "A", 6)]
+
+
+def test_lines_that_repeat_few_shingles_are_compared(spark):
+    rules = [(2 * k + n, c * (300 + 10 * n)) for k, c in enumerate("-=~*#_+.") for n in range(2)]
+    found = repeated_lines(spark.createDataFrame(rules, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {i: i % 2 for i, _ in rules}
