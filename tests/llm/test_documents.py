@@ -276,6 +276,28 @@ def test_lines_equal_brute_force(spark):
     assert got == brute_lines(texts)
 
 
+def template_lines(families=300):
+    """Lines of one long boilerplate and an own ending, too far from one another to be linked, each with a near copy."""
+    rng = random.Random(12)
+    ending = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    head = " ".join(some_words(500, 14))[:110]
+    texts = []
+    for k in range(families):
+        tail = ending(18)
+        texts += [(k, head + tail + ending(12)), (1000 + k, head + tail + ending(12))]
+    return texts
+
+
+@pytest.mark.parametrize("block", [16, 256])
+def test_near_lines_of_a_template_family_equal_brute_force(spark, block):
+    texts = template_lines()
+    want = brute_lines(texts)
+    assert sum(map(len, want.values())) == 300
+    got = {r["doc_id"]: list(r["removed"]) for r in repeated_lines(table(spark, texts), block=block).collect()}
+    # Two pairs at most share no band.
+    assert sum(want[i] != got[i] for i in want) <= 2
+
+
 def test_documents_keep_their_other_lines(spark):
     docs = table(spark, [(1, "first line here\nshared line of text"), (2, "shared line of text\nsecond"), (3, "shared line of text"), (4, None), (5, "")])
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in without_repeated_lines(docs).collect()}
