@@ -354,3 +354,19 @@ def test_lines_that_repeat_few_shingles_are_compared(spark):
     rules = [(2 * k + n, c * (300 + 10 * n)) for k, c in enumerate("-=~*#_+.") for n in range(2)]
     found = repeated_lines(spark.createDataFrame(rules, "doc_id long, text string"))
     assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {i: i % 2 for i, _ in rules}
+
+
+def rotated_lines():
+    """Lines that repeat a passage, each again from a later start and again with a heading: almost equal sets of shingles."""
+    texts = []
+    for k in range(20):
+        passage = " ".join(some_words(700 + k, 14))[:100]
+        texts += [(3 * k, passage * 60), (3 * k + 1, (passage[40:] + passage[:40]) * 60), (3 * k + 2, f"Head {k}: " + passage * 60)]
+    return texts
+
+
+def test_repeated_passages_are_compared_wherever_they_start(spark):
+    texts = rotated_lines()
+    want = brute_lines(texts)
+    assert sum(map(len, want.values())) == 40
+    assert {r["doc_id"]: list(r["removed"]) for r in repeated_lines(table(spark, texts)).collect()} == want
