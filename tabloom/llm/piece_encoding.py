@@ -30,6 +30,8 @@ SPACE = "▁"
 _LEAF = -1
 _CACHE_WORDS = 250_000
 _CACHE_PAIRS = 300_000
+#: Longer words, and parts of words, are encoded anew each time.
+_CACHE_CHARS = 64
 
 
 class PieceModel:
@@ -219,6 +221,8 @@ class _Words(dict):
         found = self.older.get(word)
         if found is None:
             found = self.make(word)
+        if len(word) > _CACHE_CHARS:
+            return found
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
@@ -233,7 +237,8 @@ class Encoder:
     decoded when they are found; only a word that decodes to something else
     than itself keeps that text too.  Words at the start of a line carry no
     space.  Inside a word, two characters that stand side by side in no piece
-    part it into words of their own, so "word," costs no second search.
+    part it into words of their own, so "word," costs no second search; a word is
+    cut at all of these places in one loop.
     """
 
     def __init__(self, model: PieceModel, words: int = _CACHE_WORDS):
@@ -247,13 +252,14 @@ class Encoder:
 
     def _entry(self, lead: str, word: str) -> str:
         pairs = self.model.pairs
-        for k in range(len(word) - 1):
-            if word[k:k + 2] not in pairs:
-                first = self.spaced[word[:k + 1]] if lead else self.plain[word[:k + 1]]
-                found = first + self.plain[word[k + 1:]]
-                if self.altered:
-                    self._note(lead, word, [int(i) for i in found.split(",")[1:]])
-                return found
+        cuts = [k for k in range(1, len(word)) if word[k - 1:k + 1] not in pairs]
+        if cuts:
+            first = self.spaced[word[:cuts[0]]] if lead else self.plain[word[:cuts[0]]]
+            rest = [self.plain[word[a:b]] for a, b in zip(cuts, [*cuts[1:], len(word)])]
+            found = "".join([first, *rest])
+            if self.altered:
+                self._note(lead, word, [int(i) for i in found.split(",")[1:]])
+            return found
         ids = self.model.chunk_ids(lead + word)
         self._note(lead, word, ids)
         return "".join(map(self.decimal.__getitem__, ids))

@@ -320,6 +320,20 @@ def test_pieces_equal_the_library():
         assert own.encode(text) == (len(ids), ",".join(map(str, ids)), model.decode(ids)), repr(text)
 
 
+def test_long_words_with_many_breaks_equal_the_library():
+    model = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    own = encoder(default_model())
+    rng = random.Random(8)
+    signs = {"cjk": [chr(c) for c in range(0x4E00, 0x9FA0)], "base64": [*"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"],
+             "digits": [*"0123456789.,;:-"], "json": ['{"id":', '"name":', "[1,2,", '"x"', "},", "]}", "null,", "0.5,"]}
+    for kind, known in signs.items():
+        word = "".join(rng.choices(known, k=10_000))[:10_000]
+        for text in (word, f"a {word} b", f"a\n{word}"):
+            ids = model.encode(text)
+            assert own.encode(text) == (len(ids), ",".join(map(str, ids)), model.decode(ids)), kind
+    assert max(map(len, [*own.plain, *own.spaced])) <= 64
+
+
 def test_encoded_table(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=default_model())
     texts = edge_texts() + [(1, "Plain words.\nNext  line "), (1, "Plain words.\nNext  line ")]
