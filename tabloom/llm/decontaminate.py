@@ -1,10 +1,11 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Texts become lower-case words of letters and digits, and five-word shingles.
-A window of a document has as many words as a benchmark item.  Only windows
-that hold a shingle of some item at the place it has there can be similar to
-that item, so these are fingerprinted: 128 bits, each the majority of that bit
-over the window's shingles.  Fingerprints are cut into blocks; two fingerprints
+A window of a document has as many words as a benchmark item.  Every start is a
+window; one at the threshold shares so many shingles with its item, wherever
+they stand, that windows with fewer places whose shingle is in an item of that
+length are left out without loss.  The others are fingerprinted: 128 bits, each
+the majority of that bit over the window's shingles.  Fingerprints are cut into blocks; two fingerprints
 within the radius differ in few bits in at least one block, so items are
 listed under every block value that close, and an equality join finds all of
 them.  Candidates are verified by their exact weighted shingle similarity
@@ -64,6 +65,27 @@ def fingerprints(shingles: DataFrame, key: list[str]) -> DataFrame:
     return counted.select(*key, bits(0).alias("low"), bits(1).alias("high"), "weight")
 
 
+def window_starts(met: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(doc_id, n, start) of all windows of n words that can reach the threshold, each once.
+
+    ``met`` (doc_id, length, n, place) are the places in documents whose shingle
+    some item of n words has.  Similarity s / (a + b - s) >= t needs s >= t / (1 + t) * (a + b)
+    shared shingles, so as many places in the window.
+    """
+    size = F.least("length", "n") - (width - 1)
+    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("n") - (width - 1) + size) - F.lit(1e-6)).cast("int")
+    spots = (met.groupBy("doc_id", "n").agg(F.max("length").alias("length"), F.array_sort(F.collect_set("place")).alias("places"))
+             .withColumn("size", size).withColumn("least", F.greatest(F.lit(1), least)).withColumn("many", F.size("places") - F.col("least") + 1).where("many > 0"))
+    part = lambda values, at: F.slice(values, at, F.col("many"))
+    before = F.concat(F.array(F.lit(-1)), F.col("places"))
+    runs = spots.select("doc_id", "n", "length", "size", F.explode(F.arrays_zip(
+        part(before, F.lit(1)).alias("before"), part(F.col("places"), F.lit(1)).alias("first"), part(F.col("places"), F.col("least")).alias("last"))).alias("run"))
+    # A window belongs to the first place it holds, so it is listed once.
+    runs = runs.select("doc_id", "n", F.greatest(F.col("run.before") + 1, F.col("run.last") - F.col("size") + 1).alias("low"),
+                       F.least(F.col("run.first"), F.greatest(F.lit(0), F.col("length") - F.col("n"))).alias("high"))
+    return runs.where("low <= high").select("doc_id", "n", F.explode(F.sequence("low", "high")).alias("start"))
+
+
 def _block_values() -> Column:
     """The fingerprint's blocks, in order."""
     per_word = 64 // _BLOCK_BITS
@@ -94,16 +116,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WOR
     listed = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") >= width).dropDuplicates()
     item_shingles = materialize(_shingles(listed.withColumn("n", F.size("words")), width), "items")
     texts = docs.select("doc_id", words_of(F.col("text")).alias("words")).where("doc_id is not null")
-    wanted = short_list(materialize(item_shingles.select("shingle", "n", F.col("place").alias("item_place")).distinct(), "wanted"))
+    wanted = short_list(materialize(item_shingles.select("shingle", "n").distinct(), "wanted"))
     met = _shingles(texts.withColumn("length", F.size("words")), width).join(wanted, "shingle")
-    first = F.greatest(F.lit(0), F.least(F.col("place") - F.col("item_place"), F.col("length") - F.col("n")))
-    spots = materialize(met.select("doc_id", first.alias("start"), "n").distinct(), "spots")
+    spots = materialize(window_starts(met, width, threshold), "spots")
     by_doc = materialize(spots.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("spots")), "documents")
     by_doc = short_list(by_doc)
-    cut = (docs.select("doc_id", "text").join(by_doc, "doc_id").select("doc_id", words_of(F.col("text")).alias("whole"), "spots")
-           .select("doc_id", "whole", F.explode("spots").alias("spot"))
-           .select("doc_id", "spot.start", "spot.n", F.slice("whole", F.col("spot.start") + 1, F.col("spot.n")).alias("words")))
-    window_shingles = materialize(_shingles(cut.dropDuplicates(["doc_id", "start", "n"]), width), "windows")
+    cut = docs.select("doc_id", "text").join(by_doc, "doc_id").select("doc_id", words_of(F.col("text")).alias("words"), "spots").dropDuplicates(["doc_id"])
+    # The shingles of a document are hashed once, whatever number of windows they are in.
+    hashes = F.transform(F.sequence(F.lit(0), F.size("words") - width), lambda at: _shingle("words", at, width))
+    cut = materialize(cut.select("doc_id", "spots", hashes.alias("hashes")), "hashes").select("doc_id", "hashes", F.explode("spots").alias("spot"))
+    window_shingles = materialize(cut.select("doc_id", "spot.start", "spot.n", F.explode(
+        F.slice("hashes", F.col("spot.start") + 1, F.col("spot.n") - (width - 1))).alias("shingle")), "windows")
     windows = fingerprints(window_shingles, ["doc_id", "start", "n"])
     items = materialize(fingerprints(item_shingles, ["item_id", "n"]), "item_prints")
     windows = materialize(windows, "window_prints")

@@ -206,6 +206,39 @@ def test_passages_are_found(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, _ in [*texts, *edge_texts()] if not (i < 6 or 10 <= i < 16))
 
 
+def brute_contaminated(texts, bench):
+    """{(doc_id, item_id): (start, similarity)} over all windows."""
+    kinds = lambda w: Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+    out = {}
+    for i, words in texts.items():
+        for k, item in bench.items():
+            b = kinds(item)
+            for start in range(max(0, len(words) - len(item)) + 1):
+                a = kinds(words[start:start + len(item)])
+                shared = (a & b).total()
+                similarity = shared / (a.total() + b.total() - shared)
+                if similarity >= 0.8 and similarity > out.get((i, k), (0, 0))[1]:
+                    out[i, k] = start, similarity
+    return out
+
+
+def test_reordered_items_equal_brute_force_over_all_windows(spark):
+    bench = {k: some_words(2000 + k, 90 + 6 * k) for k in range(5)}
+    texts = {}
+    for k, w in bench.items():
+        half, third = len(w) // 2, len(w) // 3
+        around = some_words(k + 60, 40), some_words(k + 80, 40)
+        texts[k] = [*around[0], *w[half:], *w[:half], *around[1]]
+        texts[10 + k] = [*around[0], *w[third:], *w[:third], *around[1]]
+        texts[20 + k] = [*w[half:], *w[:half]][:-4]
+        texts[30 + k] = [*around[0], *w[:half], *around[1], *w[half:]]
+        texts[40 + k] = [*w, *around[0], *w[half:], *w[:half]]
+    want = brute_contaminated(texts, bench)
+    assert {(k + d, k) for k in bench for d in (0, 10, 20, 40)} == set(want)
+    found = contaminated(table(spark, [(i, " ".join(w)) for i, w in texts.items()]), items(spark, [(k, " ".join(w)) for k, w in bench.items()]))
+    assert {(r["doc_id"], r["item_id"]): (r["start"], r["similarity"]) for r in found.collect()} == want
+
+
 def test_no_items(spark):
     docs = table(spark, [(1, "some words that stand here alone")])
     assert contaminated(docs, items(spark, [])).collect() == []
