@@ -1,5 +1,27 @@
 """Licence texts and notices as published.  Fixed values: digests are taken of these words."""
 
+from __future__ import annotations
+
+from importlib.resources import files
+
+#: Where the terms end in licences that go on with advice on how to apply them.
+_TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the files in license_data; of those with an appendix also the terms alone."""
+    out = []
+    for file in sorted(files("tabloom.llm").joinpath("license_data").iterdir(), key=lambda f: f.name):
+        if not file.name.endswith(".txt"):
+            continue
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        out.append((name, text))
+        terms, end, _ = text.partition(_TERMS_END)
+        if end:
+            out += [(name, terms), (name, terms + end)]
+    return out
+
+
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -83,4 +105,5 @@ LICENSE_TEXTS = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    *_whole_texts(),
 )

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 import sentencepiece
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.decontaminate import contaminated, within_radius, without_contaminated
 from tabloom.llm.jaccard_forest import found_chance, jaccard_join, one_of_each, prefix_depth
 from tabloom.llm.language_id import held_out, identify, recognised
-from tabloom.llm.license_scan import scan_licenses
+from tabloom.llm.license_scan import default_licenses, scan_licenses
 from tabloom.llm.license_texts import LICENSE_TEXTS
 from tabloom.llm.line_dedup import repeated_lines, without_repeated_lines
 from tabloom.llm.piece_encoding import default_model, encode_texts, encoder
@@ -417,3 +418,13 @@ def test_repeated_passages_are_compared_wherever_they_start(spark):
     want = brute_lines(texts)
     assert sum(map(len, want.values())) == 40
     assert {r["doc_id"]: list(r["removed"]) for r in repeated_lines(table(spark, texts)).collect()} == want
+
+
+def test_whole_texts_of_usual_licences_are_found(spark):
+    folder = Path(default_licenses.__code__.co_filename).parent / "license_data"
+    whole = {k: (f.stem, f.read_text()) for k, f in enumerate(sorted(folder.glob("*.txt")))}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Artistic-1.0-Perl"} <= {name for name, _ in whole.values()}
+    texts = [(k, text) for k, (_, text) in whole.items()] + [(100 + k, "# " + text.upper().replace("\n", "\r\n# ")) for k, (_, text) in whole.items()]
+    texts += [(200 + k, text + " and more") for k, (_, text) in whole.items()]
+    got = {r["doc_id"]: r["text_license"] for r in scan_licenses(table(spark, texts)).where("text_license is not null").collect()}
+    assert got == {d + k: name for k, (name, _) in whole.items() for d in (0, 100)}
