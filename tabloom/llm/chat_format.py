@@ -147,15 +147,32 @@ def read_back(formatted: DataFrame, vocabulary: Vocabulary = DEFAULT_VOCABULARY)
     """One row per conversation, from ids and loss masks alone.
 
     (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars).
-    The digests run over a whole conversation in order, so its turns pass
+    Turns are decoded, rendered and unescaped one by one, wherever they are.
+    The digests run over a whole conversation in order, so its read turns pass
     through one task as a stream: rows are sorted, and only the state of the
     digests is held.
     """
-    in_order = (formatted.repartition("conv_id").sortWithinPartitions(*[F.asc_nulls_first(c) for c in ("conv_id", "turn", "role", "text")])
-                .select("conv_id", "ids", "loss"))
 
-    def run(batches):
+    def read(batches):
         own = tokenizer(vocabulary)
+        for batch in batches:
+            said, trained, sizes = [], [], []
+            for ids, loss in zip(batch.column("ids"), batch.column("loss")):
+                ids, loss = ids.values.to_numpy(), np.asarray(loss.values)
+                role, text = own.read_turn(ids)
+                said.append(f"{role}\n{text}\n")
+                trained.append(unescape(own.decode(ids[loss])))
+                sizes.append(len(own.render(ids)))
+            keys = [batch.column(c) for c in ("conv_id", "turn", "role", "text")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(said, pa.string()), pa.array(trained, pa.string()), pa.array(sizes, pa.int64())],
+                                             names=["conv_id", "turn", "role", "text", "said", "trained", "formatted"])
+
+    turns = formatted.select("conv_id", "turn", "role", "text", "ids", "loss").mapInArrow(
+        read, "conv_id long, turn long, role string, text string, said string, trained string, formatted long")
+    in_order = (turns.repartition("conv_id").sortWithinPartitions(*[F.asc_nulls_first(c) for c in ("conv_id", "turn", "role", "text")])
+                .select("conv_id", "said", "trained", "formatted"))
+
+    def run(batches):
         current, state = None, None
 
         def closed():
@@ -165,19 +182,16 @@ def read_back(formatted: DataFrame, vocabulary: Vocabulary = DEFAULT_VOCABULARY)
                 names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
         for batch in batches:
-            for conv, ids, loss in zip(batch.column("conv_id").to_pylist(), batch.column("ids"), batch.column("loss")):
+            for conv, said, trained, size in zip(*[c.to_pylist() for c in batch.columns]):
                 if state is None or conv != current:
                     if state is not None:
                         yield closed()
                     current, state = conv, {"turns": 0, "all": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "formatted": 0}
-                ids, loss = ids.values.to_numpy(), np.asarray(loss.values)
-                role, text = own.read_turn(ids)
-                trained = unescape(own.decode(ids[loss]))
                 state["turns"] += 1
-                state["all"].update(f"{role}\n{text}\n".encode())
+                state["all"].update(said.encode())
                 state["loss"].update(trained.encode())
                 state["chars"] += len(trained)
-                state["formatted"] += len(own.render(ids))
+                state["formatted"] += size
         if state is not None:
             yield closed()
 

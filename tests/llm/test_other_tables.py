@@ -17,6 +17,7 @@ import corpus_pipeline
 from tabloom.llm.chat_format import DEFAULT_VOCABULARY, escape, format_turns, read_back, tokenizer, unescape
 from tabloom.llm.components import connected_components
 from tabloom.llm.embedding_dedup import near_duplicates
+from tabloom.llm.joins import short_list
 from tabloom.llm.url_filter import filter_urls
 
 # connected components
@@ -226,3 +227,17 @@ def test_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         stages = stage(spark, stages, DATA)
         assert stages.columns == docs.columns, name
+
+
+def test_turns_are_read_before_they_are_gathered(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hello"), (1, 1, "assistant", "good day")], "conv_id long, turn long, role string, text string")
+    plan = read_back(format_turns(turns))._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = next(k for k, line in enumerate(plan) if "Exchange hashpartitioning(conv_id" in line)
+    assert sum("MapInArrow" in line for line in plan[at:]) == 2 and "MapInArrow" in "".join(plan[:at])
+
+
+def test_a_list_of_few_wide_rows_is_not_broadcast(spark):
+    wide = spark.range(4).select("id", F.sequence(F.lit(0), F.lit(2000)).alias("numbers"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(short_list(wide)) and not hinted(short_list(wide, max_bytes=10_000)) and not hinted(short_list(wide, limit=3))
+    assert not hinted(short_list(spark.range(400).select("id", F.expr("sequence(0, 40000)").alias("numbers"))))
