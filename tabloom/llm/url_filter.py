@@ -37,6 +37,13 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def text_of(url: Column) -> Column:
+    """The whole URL, its host lower-cased; empty for a null one."""
+    known = F.coalesce(url, F.lit(""))
+    before, after = F.regexp_extract(known, r"(?s)^(.*?://)", 1), F.regexp_extract(known, r"(?s)^.*?://[^/?#]*(.*)$", 1)
+    return F.when(before == "", known).otherwise(F.concat(before, host_of(url), after))
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """A struct (rule, verdict) of the longest rule that fits; null without one."""
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
@@ -92,15 +99,16 @@ def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, min_context:
     """(page_id, host, path, rule, verdict, score) for every row of ``pages`` (page_id, url).
 
     A rule's verdict stands; other URLs are allowed when their score reaches
-    the threshold.  A null URL or one without :// has an empty host and path,
-    which are scored as the empty text.  If one class has nothing to learn from
+    the threshold.  Models learn from and score the whole URL, rules see host and
+    path.  A null URL or one without :// has an empty host and path; a null one
+    is scored as the empty text.  If one class has nothing to learn from
     every other URL scores towards the other; without labelled URLs at all
     scores are 0 and all are allowed.  Equal URLs are scored once and repeated
     rows stay.  Other columns are not read.
     """
     url = F.col("url")
-    judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
-    judged = judged.withColumn("text", F.concat("host", "path")).withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
+    judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), text_of(url).alias("text"))
+    judged = judged.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     judged = judged.withColumn("key", F.unhex(F.md5("text")))
     part = F.pmod(F.xxhash64("key"), F.lit(4))
     texts = materialize(

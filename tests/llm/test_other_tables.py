@@ -241,3 +241,11 @@ def test_a_list_of_few_wide_rows_is_not_broadcast(spark):
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert hinted(short_list(wide)) and not hinted(short_list(wide, max_bytes=10_000)) and not hinted(short_list(wide, limit=3))
     assert not hinted(short_list(spark.range(400).select("id", F.expr("sequence(0, 40000)").alias("numbers"))))
+
+
+def test_urls_are_scored_whole(spark):
+    urls = [*(f"http://a.com/{k}?good=yes" for k in range(20)), *(f"http://b.net/es/{k}?spam=zzz" for k in range(20)),
+            "http://other.org/go?good=yes", "http://OTHER.org/go?spam=zzz", "plain good=yes", "plain spam=zzz", "http://other.org/go?good=yes"]
+    got = {r["page_id"]: r for r in filter_urls(spark.createDataFrame([(k, u, "h", "t", "k", 0.5) for k, u in enumerate(urls)], PAGES)).collect()}
+    assert got[40]["score"] > got[41]["score"] and got[42]["score"] > got[43]["score"] and got[44]["score"] == got[40]["score"]
+    assert [(got[k]["host"], got[k]["path"]) for k in range(40, 44)] == [("other.org", "/go")] * 2 + [("", "")] * 2
