@@ -31,6 +31,8 @@ TRAINED_ROLE = "assistant"
 _MARKED = re.compile(r"<\\*/?s>|\[\\*/?INST\]")
 _ESCAPED = re.compile(r"<\\+/?s>|\[\\+/?INST\]")
 _SEGMENT = 1 << 16
+#: Before a space that follows a letter, digit or underscore the split pattern always has a border.
+_BORDER = re.compile(r"(?<=\w) ")
 
 
 def escape(text: str) -> str:
@@ -52,10 +54,14 @@ class ChatTokenizer:
         self.reserved = {name: first + k for k, name in enumerate(CONTROLS)}
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text, in segments of bounded length."""
+        """The ids of the whole text, taken in segments that end where the split pattern has a border anyway."""
         out: list[int] = []
-        for k in range(0, len(text), _SEGMENT):
-            out += self.encoding.encode_ordinary(text[k:k + _SEGMENT])
+        start = 0
+        while start < len(text):
+            border = _BORDER.search(text, start + _SEGMENT)
+            stop = border.start() if border else len(text)
+            out += self.encoding.encode_ordinary(text[start:stop])
+            start = stop
         return out
 
     def decode(self, ids: np.ndarray) -> str:

@@ -119,7 +119,7 @@ def _tile_links(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float
     for k in range(0, len(pairs), 1 << 16):
         part = pairs[k:k + (1 << 16)]
         cosine = np.einsum("ij,ij->i", ua[part[:, 0]], ub[part[:, 1]])
-        linked.append(part[cosine >= threshold - 1e-15])
+        linked.append(part[cosine >= threshold])
     return np.concatenate(linked) if linked else np.zeros((0, 2), dtype=np.int64)
 
 

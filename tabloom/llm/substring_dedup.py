@@ -9,8 +9,8 @@ Three passes over the texts, none of which collects windows:
    partition counts its anchors in a count-min sketch (two rows of cells, cut
    into shards); the partition sketches are merged by shard.
 2. *Exact grouping.*  Only windows whose anchor is estimated to occur more
-   than once are hashed, shuffled and grouped; a window used once may get
-   this far, a repeated one always does.
+   than once are hashed, shuffled and grouped, by two independent digests of
+   64 bits; a window used once may get this far, a repeated one always does.
 3. *Removal.*  Starts of repeated windows go back to their documents, which
    lose the covered words.
 
@@ -22,6 +22,7 @@ costs time and never a result.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
@@ -113,7 +114,7 @@ def partition_sketches(docs: DataFrame, cells: int, window: int, anchor: int) ->
 def merged_sketch(parts: DataFrame) -> DataFrame:
     """(sketch_row, shard, bits): which cells of a shard were used more than once in all partitions together."""
 
-    def merge(key, batches):
+    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SHARD_CELLS, dtype=np.uint8)
         for batch in batches:
             for packed in batch.column("cells"):
@@ -121,10 +122,7 @@ def merged_sketch(parts: DataFrame) -> DataFrame:
                 counts[:] = np.minimum(counts + np.bincount(cell, minlength=SHARD_CELLS).clip(0, 2).astype(np.uint8), 2)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int64()), pa.array([np.packbits(counts > 1).tobytes()], pa.binary())], names=["sketch_row", "shard", "bits"])
 
-    def whole(key, table):
-        return pa.Table.from_batches(merge(key, table.to_batches()))
-
-    return parts.groupBy("sketch_row", "shard").applyInArrow(whole, "sketch_row int, shard long, bits binary")
+    return parts.groupBy("sketch_row", "shard").applyInArrow(merge, "sketch_row int, shard long, bits binary")
 
 
 def _sketch_bits(sketch: DataFrame, cells: int) -> np.ndarray:
@@ -137,13 +135,14 @@ def _sketch_bits(sketch: DataFrame, cells: int) -> np.ndarray:
 
 
 def suspected_windows(docs: DataFrame, bits, cells: int, window: int, anchor: int) -> DataFrame:
-    """(hash, doc_id, start) of the windows whose anchor the sketch counts more than once."""
+    """(hash, hash2, doc_id, start) of the windows whose anchor the sketch counts more than once."""
 
     def run(batches):
         seen = bits.value
         for batch in text_slices(batches):
             words = split_words(batch.column("text"))
             windows, first, anchor_of = anchors_of(word_hashes(words), words.bounds, window, anchor)
+            again, _ = window_hashes(word_hashes(words, 1), words.bounds, window)
             keep = np.ones(len(windows), dtype=bool)
             for row in range(SKETCH_ROWS):
                 cell = cell_of(anchor_of, row, cells)
@@ -151,17 +150,18 @@ def suspected_windows(docs: DataFrame, bits, cells: int, window: int, anchor: in
             first = first[keep]
             text = np.searchsorted(words.bounds, first, side="right") - 1
             ids = batch.column("doc_id").cast(pa.int64()).take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([pa.array(windows[keep].view(np.int64)), ids, pa.array((first - words.bounds[text]).astype(np.int32))], names=["hash", "doc_id", "start"])
+            columns = [pa.array(windows[keep].view(np.int64)), pa.array(again[keep].view(np.int64)), ids, pa.array((first - words.bounds[text]).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["hash", "hash2", "doc_id", "start"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "hash long, doc_id long, start int")
+    return docs.select("doc_id", "text").mapInArrow(run, "hash long, hash2 long, doc_id long, start int")
 
 
 def repeated_starts(windows: DataFrame) -> DataFrame:
     """(doc_id, starts): first words of the windows that also start in a document of smaller doc_id."""
     # Written, so that the join below deals both sides anew and a hot window's rows can be split over tasks.
-    origin = materialize(windows.groupBy("hash").agg(F.min("doc_id").alias("origin"), F.max("doc_id").alias("last"))
+    origin = materialize(windows.groupBy("hash", "hash2").agg(F.min("doc_id").alias("origin"), F.max("doc_id").alias("last"))
                          .where("last > origin").drop("last"), "origins")
-    later = windows.join(origin, "hash").where("doc_id > origin").select("doc_id", "start")
+    later = windows.join(origin, ["hash", "hash2"]).where("doc_id > origin").select("doc_id", "start")
     return later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
 
 

@@ -6,6 +6,7 @@ cut into slices of bounded size first, so memory does not follow the batch.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -18,8 +19,8 @@ SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 SLICE_BYTES = 4 << 20
-_CHUNK = 1 << 20
-_BYTE_BASE = 0x9E3779B97F4A7C15
+_LONG_WORD = 256
+_KEYS = (0x9E3779B97F4A7C15, 0xA24BAED4963EE407)
 _WORD_BASE = 0xD1342543DE82EF95
 _powers: dict[int, np.ndarray] = {}
 
@@ -38,9 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BYTE_BASE))
-
-
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
     known = _powers.get(base)
@@ -56,6 +54,10 @@ def _inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 
 
+#: Masks that keep the first n bytes of a block.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most ``limit`` text bytes, one row at least."""
     for batch in batches:
@@ -105,20 +107,26 @@ def split_words(column: pa.Array) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
 
 
-def word_hashes(words: Words) -> np.ndarray:
-    """A 64-bit hash of every word, from prefix sums over chunks of whole words."""
-    out = np.empty(len(words.starts), dtype=np.uint64)
-    first = 0
-    while first < len(out):
-        begin = int(words.starts[first])
-        last = max(first + 1, int(np.searchsorted(words.ends, begin + _CHUNK, side="right")))
-        end = int(words.ends[last - 1])
-        sums = np.zeros(end - begin + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[words.data[begin:end]] * powers(_BYTE_BASE, end - begin), out=sums[1:])
-        a, b = words.starts[first:last] - begin, words.ends[first:last] - begin
-        out[first:last] = (sums[b] - sums[a]) * powers(_inverse(_BYTE_BASE), end - begin + 1)[a] + (b - a).astype(np.uint64)
-        first = last
-    return mix(out)
+def word_hashes(words: Words, key: int = 0) -> np.ndarray:
+    """A 64-bit hash of every word; ``key`` 0 and 1 give two independent ones.
+
+    Blocks of eight bytes are mixed one after another, for all words at once;
+    a word of more than ``_LONG_WORD`` bytes is digested by itself.
+    """
+    sizes = words.ends - words.starts
+    out = mix(sizes.astype(np.uint64) + np.uint64(_KEYS[key]))
+    padded = np.concatenate([words.data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded, strides=(1,))
+    rest = np.flatnonzero(sizes <= _LONG_WORD)
+    at = 0
+    while len(rest):
+        left = sizes[rest] - at
+        out[rest] = mix((out[rest] ^ (blocks[words.starts[rest] + at] & _FIRST_BYTES[np.minimum(left, 8)])) * np.uint64(_KEYS[1 - key]))
+        rest, at = rest[left > 8], at + 8
+    for k in np.flatnonzero(sizes > _LONG_WORD):
+        digest = hashlib.blake2b(words.data[words.starts[k]:words.ends[k]], digest_size=8, salt=bytes([key]))
+        out[k] = np.frombuffer(digest.digest(), dtype="<u8")[0]
+    return out
 
 
 def window_hashes(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -428,3 +428,22 @@ def test_whole_texts_of_usual_licences_are_found(spark):
     texts += [(200 + k, text + " and more") for k, (_, text) in whole.items()]
     got = {r["doc_id"]: r["text_license"] for r in scan_licenses(table(spark, texts)).where("text_license is not null").collect()}
     assert got == {d + k: name for k, (name, _) in whole.items() for d in (0, 100)}
+
+
+def thue_morse(size, swap):
+    return "".join("ab"[(bin(k).count("1") + swap) % 2] for k in range(size))
+
+
+def test_words_that_defeat_polynomial_hashes_stay_apart(spark):
+    tail = " ".join(f"t{k}" for k in range(49))
+    docs = table(spark, [(1, thue_morse(1024, 0) + " " + tail), (2, thue_morse(1024, 1) + " " + tail), (3, thue_morse(256, 0) + " " + tail), (4, thue_morse(256, 1) + " " + tail), (5, thue_morse(256, 1) + " " + tail)])
+    assert {r["doc_id"]: r["n_removed"] for r in remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 50}
+    got = {r["doc_id"]: r["class_id"] for r in jaccard_join(table(spark, [(1, thue_morse(1024, 0)), (2, thue_morse(1024, 1)), (3, thue_morse(1024, 1))])).collect()}
+    assert got == {1: 1, 2: 2, 3: 2}
+
+
+def test_stages_keep_columns_of_their_own_names(spark):
+    docs = table(spark, [(1, "a line of text that is long enough\nanother line here"), (2, "a line of text that is long enough\nsomething else")])
+    docs = docs.withColumn("__removed", F.lit(1)).withColumn("removed", F.lit(2))
+    got = {r["doc_id"]: (r["text"], r["removed"], r["__removed"]) for r in without_repeated_lines(docs).collect()}
+    assert got == {1: ("a line of text that is long enough\nanother line here", 2, 1), 2: ("something else", 2, 1)}

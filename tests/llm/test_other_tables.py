@@ -18,7 +18,7 @@ from tabloom.llm.chat_format import DEFAULT_VOCABULARY, escape, format_turns, re
 from tabloom.llm.components import connected_components
 from tabloom.llm.embedding_dedup import near_duplicates
 from tabloom.llm.joins import short_list
-from tabloom.llm.url_filter import filter_urls
+from tabloom.llm.url_filter import filter_urls, text_of
 
 # connected components
 
@@ -147,7 +147,8 @@ def test_rules_and_verdicts(spark):
 def test_scores_equal_dictionaries(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     got = filter_urls(pages).collect()
-    texts = [r["host"] + r["path"] for r in got]
+    whole = {r["page_id"]: r["t"] for r in pages.select("page_id", text_of(F.col("url")).alias("t")).collect()}
+    texts = [whole[r["page_id"]] for r in got]
     part = {r["t"]: r["p"] for r in spark.createDataFrame([(t,) for t in set(texts)], "t string").select("t", F.pmod(F.xxhash64(F.unhex(F.md5("t"))), F.lit(4)).alias("p")).collect()}
     learned = [(t, r["verdict"]) for t, r in zip(texts, got) if r["rule"] and part[t] != 3]
     want = model_scores(learned, texts)
@@ -249,3 +250,26 @@ def test_urls_are_scored_whole(spark):
     got = {r["page_id"]: r for r in filter_urls(spark.createDataFrame([(k, u, "h", "t", "k", 0.5) for k, u in enumerate(urls)], PAGES)).collect()}
     assert got[40]["score"] > got[41]["score"] and got[42]["score"] > got[43]["score"] and got[44]["score"] == got[40]["score"]
     assert [(got[k]["host"], got[k]["path"]) for k in range(40, 44)] == [("other.org", "/go")] * 2 + [("", "")] * 2
+
+
+def test_no_pair_below_the_threshold_is_linked(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for k in range(200):
+        a, b = rng.normal(size=5), rng.normal(size=5)
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b = 0.98 * a + math.sqrt(1 - 0.98**2) * b / np.linalg.norm(b)
+        rows += [(2 * k, a.tolist(), k, 1, 1, 1, 1), (2 * k + 1, b.tolist(), k, 1, 1, 1, 1)]
+    vectors = spark.createDataFrame(rows, VECTORS.replace("array<float>", "array<double>"))
+    got = {r["vec_id"]: r["n_links"] for r in near_duplicates(vectors).collect()}
+    unit = lambda x: (x := np.array(x) / np.abs(x).max()) / np.sqrt((x * x).sum())
+    for k in range(200):
+        want[2 * k] = want[2 * k + 1] = int(np.einsum("ij,ij->i", unit(rows[2 * k][1])[None], unit(rows[2 * k + 1][1])[None])[0] >= 0.98)
+    assert got == want and 20 < sum(want.values()) < 380
+
+
+@pytest.mark.parametrize("text", ["abc, " * 30_000, "a" * 65_530 + "bcdefghij" * 3, ("x" * 65_535 + " ") * 3, "1 " * 80_000 + "\n\n  " * 9, "中文" * 40_000, " " * 70_000 + "end"])
+def test_long_texts_keep_their_ids(text):
+    own = tokenizer(DEFAULT_VOCABULARY)
+    assert own.encode(text) == own.encoding.encode_ordinary(text)
