@@ -10,7 +10,8 @@ Three passes over the texts, none of which collects windows:
    into shards); the partition sketches are merged by shard.
 2. *Exact grouping.*  Only windows whose anchor is estimated to occur more
    than once are hashed, shuffled and grouped, by two independent digests of
-   64 bits; a window used once may get this far, a repeated one always does.
+   96 bits together; a window used once may get this far, a repeated one
+   always does.
 3. *Removal.*  Starts of repeated windows go back to their documents, which
    lose the covered words.
 
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.joins import short_list
 from tabloom.llm.words import bound_batches, mix, split_words, text_slices, window_hashes, word_hashes
 from tabloom.session import materialize
 
@@ -150,19 +152,22 @@ def suspected_windows(docs: DataFrame, bits, cells: int, window: int, anchor: in
             first = first[keep]
             text = np.searchsorted(words.bounds, first, side="right") - 1
             ids = batch.column("doc_id").cast(pa.int64()).take(pa.array(text))
-            columns = [pa.array(windows[keep].view(np.int64)), pa.array(again[keep].view(np.int64)), ids, pa.array((first - words.bounds[text]).astype(np.int32))]
+            columns = [pa.array(windows[keep].view(np.int64)), pa.array((again[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32)), ids, pa.array((first - words.bounds[text]).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["hash", "hash2", "doc_id", "start"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "hash long, hash2 long, doc_id long, start int")
+    return docs.select("doc_id", "text").mapInArrow(run, "hash long, hash2 int, doc_id long, start int")
 
 
 def repeated_starts(windows: DataFrame) -> DataFrame:
-    """(doc_id, starts): first words of the windows that also start in a document of smaller doc_id."""
+    """(doc_id, first, last): first words of the windows that also start in a document of smaller doc_id, as runs of consecutive ones."""
     # Written, so that the join below deals both sides anew and a hot window's rows can be split over tasks.
     origin = materialize(windows.groupBy("hash", "hash2").agg(F.min("doc_id").alias("origin"), F.max("doc_id").alias("last"))
                          .where("last > origin").drop("last"), "origins")
     later = windows.join(origin, ["hash", "hash2"]).where("doc_id > origin").select("doc_id", "start")
-    return later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    starts = later.groupBy("doc_id").agg(F.array_sort(F.collect_set("start")).alias("s"))
+    first = F.filter("s", lambda x, i: (i == 0) | (F.get(F.col("s"), i - 1) != x - 1))
+    last = F.filter("s", lambda x, i: (i == F.size("s") - 1) | (F.get(F.col("s"), i + 1) != x + 1))
+    return starts.select("doc_id", first.alias("first"), last.alias("last"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, max_cells: int = MAX_CELLS, with_text: bool = False) -> DataFrame:
@@ -182,24 +187,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     cells = sketch_cells(n_words, window, anchor, max_cells)
     sketch = materialize(merged_sketch(partition_sketches(named, cells, window, anchor)), "sketch")
     bits = spark.sparkContext.broadcast(_sketch_bits(sketch, cells))
-    windows = materialize(suspected_windows(named, bits, cells, window, anchor), "windows")
+    # Made for the grouping and again for the join: that costs less than a table of all of them.
+    windows = suspected_windows(named, bits, cells, window, anchor)
     starts = materialize(repeated_starts(windows), "starts")
-    joined = docs.select("doc_id", "text").join(starts, "doc_id", "left")
+    joined = docs.select("doc_id", "text").join(short_list(starts), "doc_id", "left")
     kind = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
 
     def run(batches):
         for batch in text_slices(batches):
             words = split_words(batch.column("text"))
             counts, removed, digests, texts = [], [], [], []
-            for k, found in enumerate(batch.column("starts")):
+            for k, (first, last) in enumerate(zip(batch.column("first"), batch.column("last"))):
                 lo, hi = int(words.bounds[k]), int(words.bounds[k + 1])
                 left = np.ones(hi - lo, dtype=bool)
-                if found.is_valid:
+                if first.is_valid:
                     edges = np.zeros(hi - lo + 1, dtype=np.int64)
-                    at = found.values.to_numpy()
-                    at = at[at + window <= hi - lo]
-                    np.add.at(edges, at, 1)
-                    np.add.at(edges, at + window, -1)
+                    starts, ends = first.values.to_numpy(), last.values.to_numpy() + window
+                    fits = ends <= hi - lo
+                    np.add.at(edges, starts[fits], 1)
+                    np.add.at(edges, ends[fits], -1)
                     left = np.cumsum(edges[:-1]) == 0
                 whole = words.data[words.starts[lo]:words.ends[hi - 1]].tobytes().split() if hi > lo else []
                 text = b" ".join(compress(whole, left))

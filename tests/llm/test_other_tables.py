@@ -192,10 +192,10 @@ def test_reserved_ids_come_from_the_template_only():
 # registered queries and pipeline
 
 
-@pytest.mark.parametrize("name", ["op7_chat_format", "op10_license_scan"])
+@pytest.mark.parametrize("name", ["op7_chat_format", "op10_license_scan", "op11_hard_negatives", "op13_filter_audit"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings", "labels"):
         con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     got, want = entry.queries()[name](spark, DATA).toPandas(), con.execute(entry.oracle_sql()[name]).fetchdf()
     assert sorted(got.columns) == sorted(want.columns)
@@ -205,7 +205,7 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_nothing_else_imports_this_package():
