@@ -284,6 +284,15 @@ def a21(t):
     return rounded(summary_by_granularity(t.events, "ts", "value"), [*SUMMARY_ROUNDED, "min", "max"], 3)
 
 
+@query("a21_summary_of_many_groups", """
+select l_partkey, count(*) as count, round(avg(l_extendedprice), 3) as mean, round(stddev_samp(l_extendedprice), 3) as std, min(l_extendedprice) as min,
+  round(quantile_cont(l_extendedprice, 0.25), 3) as q25, round(quantile_cont(l_extendedprice, 0.5), 3) as q50, round(quantile_cont(l_extendedprice, 0.75), 3) as q75,
+  max(l_extendedprice) as max from lineitem group by 1
+""")
+def a21_many(t):
+    return rounded(A.describe_groups(t.lineitem, "l_partkey", "l_extendedprice"), SUMMARY_ROUNDED, 3)
+
+
 HOURLY_SQL = "(select date_trunc('hour', ts) as ts, sum(value) as value, row_number() over (order by date_trunc('hour', ts)) - 1 as i from events group by 1)"
 
 

@@ -1,5 +1,6 @@
 """Model training, studies and comparison on the labelled documents."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom.catalog.a_aggregates import rounded
@@ -9,7 +10,9 @@ from tabloom.catalog.q_metrics import SCORES, metrics_sql
 from tabloom.operators.sampling import split_train_test
 from tabloom.plans import studies as S
 from tabloom.plans.experiment import redundancy_study, variance_study
-from tabloom.session import local_table
+from tabloom.plans.registry import load_model
+from tabloom.session import local_table, scratch_path
+from tabloom.streaming.streams import read_stream, run_available
 
 FEATURES = ["n_chars", "words", "en", "toxic"]
 FEATURES_SQL = f"(select doc_id, n_chars, words, (lang = 'en')::int::double as en, toxic::double as toxic, quality, {{train}} as train from {DOCS_SQL})"
@@ -176,6 +179,21 @@ def m14(t):
     return S.study_table(t.spark, done)
 
 
+@query("m14_neighbors_stream", f"""
+with {votes_sql([5])} select doc_id, cast(prediction as double) as prediction from picked where k = 5
+""")
+def m14_neighbors(t):
+    """A kNN model trained and saved with the others, loaded again, scores a stream."""
+    train, test = (S.assemble(d, ["n_chars", "words"], "quality", "doc_id") for d in splits(t))
+    folder = scratch_path(t.spark, "models")
+    S.train_models(train, test, ["KNN"], options={"KNN": {"distances": ("euclidean",), "key": "doc_id", "ks": (5,)}}, save_to=folder)
+    rows = scratch_path(t.spark, "unscored")
+    test.select("doc_id", vector_to_array("features").alias("features")).write.parquet(rows)
+    stream = read_stream(t.spark, rows, "doc_id long, features array<double>")
+    scored = load_model(t.spark, f"{folder}/KNN").transform(stream)
+    return run_available(scored.select("doc_id", "prediction"), scratch_path(t.spark, "scored"))
+
+
 @query("v03_variance_study")
 def v03(t):
     train, test = splits(t)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.operators.quantiles import exact_quantiles, known_number
+from tabloom.operators.quantiles import column_facts, group_facts, known_number
 from tabloom.session import local_table
 
 
@@ -112,28 +112,14 @@ def class_balance(df: DataFrame, target: str) -> ClassBalance:
 SUMMARY_FIELDS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
+def _summary(facts: dict) -> dict:
+    q = facts["quantiles"]
+    return {**{f: facts[f] for f in ("count", "mean", "std", "min", "max")}, "q25": q[0], "q50": q[1], "q75": q[2]}
+
+
 def describe(df: DataFrame, columns: Sequence[str], **options) -> dict[str, dict]:
     """count, mean, sample std, min, quartiles and max of each column, on the driver; null and NaN are missing."""
-    columns = list(columns)
-    exprs = []
-    for i, c in enumerate(columns):
-        x = known_number(F.col(c))
-        exprs += [
-            F.count(x).alias(f"count{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
-            F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
-        ]
-    if not columns:
-        return {}
-    row = df.agg(*exprs).first()
-    quartiles = exact_quantiles(df, columns, **options)
-    out = {}
-    for i, c in enumerate(columns):
-        q = quartiles[c]
-        out[c] = {
-            "count": row[f"count{i}"], "mean": row[f"mean{i}"], "std": row[f"std{i}"], "min": row[f"min{i}"],
-            "q25": q[0], "q50": q[1], "q75": q[2], "max": row[f"max{i}"],
-        }
-    return out
+    return {c: _summary(f) for c, f in column_facts(df, columns, **options).items()}
 
 
 def describe_table(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
@@ -144,19 +130,10 @@ def describe_table(df: DataFrame, columns: Sequence[str], **options) -> DataFram
 
 
 def describe_groups(df: DataFrame, group: str, value: str, **options) -> DataFrame:
-    """The summary of ``value`` for each of a few groups.
-
-    Quartiles come from the bounded exact routine on one column per group.
-    """
-    labels = [r[0] for r in df.select(group).distinct().orderBy(group).limit(MAX_CLASSES + 1).collect()]
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"{group} has more than {MAX_CLASSES} values; aggregate it with groupBy instead")
-    wide = df.select(*[F.when(F.col(group).eqNullSafe(F.lit(v)), F.col(value)).alias(f"g{i}") for i, v in enumerate(labels)])
-    summary = describe(wide, wide.columns, **options)
-    rows = [(labels[i], *[summary[f"g{i}"][f] for f in SUMMARY_FIELDS]) for i in range(len(labels))]
-    kind = df.schema[group].dataType.simpleString()
-    schema = f"{group} {kind}, count long, " + ", ".join(f"{f} double" for f in SUMMARY_FIELDS[1:])
-    return local_table(df.sparkSession, rows, schema)
+    """The summary of ``value`` for each group, however many there are."""
+    facts = group_facts(df, [group], value, **options)
+    q = {f: F.get("quantiles", F.lit(j)).alias(f) for j, f in enumerate(("q25", "q50", "q75"))}
+    return facts.select(group, *[q.get(f, F.col(f)) for f in SUMMARY_FIELDS])
 
 
 def outlier_limits(summary: dict, *, std_based: bool = True, threshold: float = 2.0) -> tuple[float | None, float | None]:

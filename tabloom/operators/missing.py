@@ -74,16 +74,17 @@ class Filling(Estimator):
 
 
 def impute_by_neighbors(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, **options) -> DataFrame:
-    """Mean of the k nearest rows that have the value; the column mean where no row shares a column."""
+    """Mean of the k nearest rows that have the value; the column mean where no row shares a column.  NaN is a gap too."""
     columns = list(columns)
     donors = missing_value_donors(df, key, columns, k, **options)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    known = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    means = df.agg(*[F.avg(known[c]).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     wide = donors.groupBy(key).agg(*[
         F.avg(F.when(F.col("variable") == c, F.col("value"))).alias(f"_fill{i}") for i, c in enumerate(columns)
     ])
     joined = df.join(wide, key, "left")
     filled = {
-        c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill{i}"), F.lit(means[f"m{i}"]).cast("double"))
+        c: F.coalesce(known[c], F.col(f"_fill{i}"), F.lit(means[f"m{i}"]).cast("double"))
         for i, c in enumerate(columns)
     }
     return joined.withColumns(filled).select(*df.columns)

@@ -1,165 +1,58 @@
-"""Exact k-nearest-neighbour joins.
-
-Candidates and queries are assigned to cells around pivot points.  From each
-cell's radius and its k smallest pivot distances follows a bound on how far
-the k-th neighbour of any query in a cell can be; by the triangle inequality a
-candidate only has to visit the query cells within that bound (the pivot-based
-join of Lu et al., VLDB 2012).  Cells are cut into blocks of bounded size on
-both sides, so a cell holding a large share of the rows, or many copies of one
-point, is still shared out.  Each block pair keeps its k best candidates per
-query with numpy, and a ranked window merges them.
-"""
+"""Exact k-nearest-neighbour joins over a metric index, votes, and donors for missing values."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.functions.hashing import key_digest
+from tabloom.operators.metric_index import LEAF_ROWS, METRICS, MetricIndex, build_index, chunks, index_neighbors, pair_distances
 from tabloom.session import local_table, materialize
 
-METRICS = ("euclidean", "manhattan", "chebyshev")
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 256
-CHUNK_CELLS = 4_000_000
+
+__all__ = ["METRICS", "knn_join", "knn_vote", "missing_value_donors", "pair_distances"]
 
 
 def feature_vector(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
 
-def pair_distances(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
-    """Distances of every row of ``q`` to every row of ``c``, computed coordinate-wise."""
-    diff = np.abs(q[:, None, :] - c[None, :, :])
-    if metric == "euclidean":
-        return np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-    return diff.sum(axis=2) if metric == "manhattan" else diff.max(axis=2)
-
-
-def _chunks(n_query: int, n_other: int, width: int) -> Iterator[slice]:
-    step = max(1, CHUNK_CELLS // max(1, n_other * width))
-    for start in range(0, n_query, step):
-        yield slice(start, start + step)
-
+def _measurable(rows: DataFrame, missing: str, side: str) -> tuple[DataFrame, int, int]:
+    """(the rows whose features are all finite, how many, and how many features); others are refused or left out.
 
-def _nearest_in_block(q: np.ndarray, c: np.ndarray, ids: np.ndarray, k: int, metric: str,
-                      q_ids: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, distance) of the k nearest, ties by candidate id.
-
-    Euclidean blocks are first screened by the product form; every pair whose
-    screened distance could be among the k best is recomputed directly.
+    The rows are counted while they are written.
     """
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    by_id = np.argsort(ids, kind="stable")
-    c_sorted, ids_sorted = c[by_id], ids[by_id]
-    keep = min(k, len(ids))
-    if metric == "euclidean":
-        norms = np.einsum("ij,ij->i", c_sorted, c_sorted)
-        screen_width = 1
-    else:
-        screen_width = q.shape[1]
-    for part in _chunks(len(q), len(ids), screen_width):
-        block = q[part]
-        if metric == "euclidean":
-            q_norms = np.einsum("ij,ij->i", block, block)
-            d = q_norms[:, None] + norms[None, :] - 2 * block @ c_sorted.T
-            tolerance = 1e-9 * (q_norms[:, None] + norms.max(initial=0.0) + 1.0)
-        else:
-            d = pair_distances(block, c_sorted, metric)
-            tolerance = 0.0
-        if q_ids is not None:
-            d[q_ids[part][:, None] == ids_sorted[None, :]] = np.inf
-        bound = np.partition(d, keep - 1, axis=1)[:, keep - 1:keep]
-        rows, cols = np.nonzero((d <= bound + tolerance) & np.isfinite(d))
-        if metric == "euclidean":
-            exact = np.empty(len(rows))
-            for piece in _chunks(len(rows), 1, q.shape[1]):
-                gap = block[rows[piece]] - c_sorted[cols[piece]]
-                exact[piece] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-        else:
-            exact = d[rows, cols]
-        order = np.lexsort((cols, exact, rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        starts = np.searchsorted(rows, rows, side="left")
-        best = np.arange(len(rows)) - starts < k
-        found.append((rows[best] + part.start, by_id[cols[best]], exact[best]))
-    if not found:
-        empty = np.empty(0, dtype=int)
-        return empty, empty, np.empty(0)
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def _assign_cells(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
-    """Nearest pivot of each row and the distance to it."""
-
-    @F.pandas_udf("cell int, dist double")
-    def nearest_pivot(vectors: pd.Series) -> pd.DataFrame:
-        x = np.stack(vectors.to_numpy()) if len(vectors) else np.empty((0, pivots.shape[1]))
-        cell, dist = np.empty(len(x), dtype=np.int32), np.empty(len(x))
-        for part in _chunks(len(x), len(pivots), pivots.shape[1]):
-            d = pair_distances(x[part], pivots, metric)
-            cell[part] = d.argmin(axis=1)
-            dist[part] = d.min(axis=1)
-        return pd.DataFrame({"cell": cell, "dist": dist})
-
-    return df.withColumn("_p", nearest_pivot("_vec")).select(
-        "*", F.col("_p.cell").alias("_cell"), F.col("_p.dist").alias("_dist")
-    ).drop("_p")
+    whole = F.coalesce(F.forall("_vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))), F.lit(False))
+    seen = Observation()
+    marked = rows.withColumn("_whole", whole).observe(
+        seen, F.count_if("_whole").alias("whole"), F.count_if(~F.col("_whole")).alias("faulty"), F.max(F.size("_vec")).alias("width"))
+    written = materialize(marked, f"knn-{side}")
+    counts = seen.get
+    if missing == "error" and counts["faulty"]:
+        raise ValueError(f"{counts['faulty']} {side} have a feature that is null, NaN or infinite")
+    return written.filter("_whole").drop("_whole"), counts["whole"], counts["width"] or 0
 
 
-def _cell_facts(queries: DataFrame, candidates: DataFrame, k: int) -> tuple[dict, dict, dict]:
-    """Per cell: query radius, candidate count and radius, k smallest candidate distances."""
-    radius = {r["_cell"]: (r["u"], r["n"]) for r in
-              queries.groupBy("_cell").agg(F.max("_dist").alias("u"), F.count(F.lit(1)).alias("n")).collect()}
-    sizes = {r["_cell"]: (r["n"], r["m"]) for r in
-             candidates.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_dist").alias("m")).collect()}
-    near: dict[int, list[float]] = {}
-    spread = F.pmod(F.xxhash64("_cid"), F.lit(64))
-    first = Window.partitionBy("_cell", "_s").orderBy("_dist")
-    merged = Window.partitionBy("_cell").orderBy("_dist")
-    slim = candidates.select("_cell", "_dist", spread.alias("_s"))
-    top = slim.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= k)
-    top = top.withColumn("_r", F.row_number().over(merged)).filter(F.col("_r") <= k)
-    for r in top.select("_cell", "_dist").collect():
-        near.setdefault(r["_cell"], []).append(r["_dist"])
-    return radius, sizes, near
+def index_points(candidates: DataFrame, k: int, metric: str, missing: str = "error", leaf_rows: int = LEAF_ROWS) -> MetricIndex:
+    """The index of candidates (_cid, _vec, kept columns) for the ``k`` nearest at most.
 
-
-def _routes(radius: dict, sizes: dict, near: dict, gaps: np.ndarray, k: int, block_rows: int) -> tuple[list, list]:
-    """Which candidate cells may hold neighbours of which query cells, and the block counts."""
-    routes, blocks = [], []
-    for i, (u, n_query) in radius.items():
-        reach = np.concatenate([[*(u + gaps[i, j] + np.asarray(d))] for j, d in near.items()])
-        theta = np.partition(reach, k - 1)[k - 1] if len(reach) >= k else np.inf
-        routed = 0
-        for j, (n, far) in sizes.items():
-            least = gaps[i, j] - u - theta
-            least -= 1e-9 * (1.0 + abs(gaps[i, j]) + abs(u) + (0.0 if np.isinf(theta) else theta))
-            if far >= least:
-                routes.append((int(j), int(i), float(max(least, 0.0)) if np.isfinite(least) else 0.0))
-                routed += n
-        blocks.append((int(i), int(ceil(n_query / block_rows)), max(1, int(ceil(routed / block_rows)))))
-    return routes, blocks
-
-
-def _pivots(candidates: DataFrame, count: int) -> np.ndarray:
-    chosen = candidates.select("_vec", key_digest("_cid", "pivot").alias("_h")).orderBy("_h").limit(count).collect()
-    return np.unique(np.array([r["_vec"] for r in chosen], dtype=float), axis=0)
-
-
-def _measurable(rows: DataFrame, missing: str, side: str) -> DataFrame:
-    """The rows whose features are all finite; others are refused or left out."""
-    whole = F.forall("_vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    whole = F.coalesce(whole, F.lit(False))
-    if missing == "error" and (faulty := rows.filter(~whole).count()):
-        raise ValueError(f"{faulty} {side} have a feature that is null, NaN or infinite")
-    return rows.filter(whole)
+    Of equal vectors only the ``k`` smallest ids can be among them, so further copies stay outside.
+    """
+    rows, n, width = _measurable(candidates, missing, "candidates")
+    if n > leaf_rows:
+        copies = Window.partitionBy("_vec").orderBy("_cid")
+        seen = Observation()
+        few = rows.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k).drop("_copy")
+        rows = materialize(few.observe(seen, F.count("*").alias("n")), "different-points")
+        n = seen.get["n"]
+    return build_index(rows, metric, width, n, leaf_rows=leaf_rows)
 
 
 def knn_join(
@@ -174,8 +67,7 @@ def knn_join(
     exclude_self: bool = False,
     keep: Sequence[str] = (),
     missing: str = "error",
-    block_rows: int = BLOCK_ROWS,
-    max_pivots: int = MAX_PIVOTS,
+    block_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """The k nearest candidates of every query: (query id, candidate id, distance, rank, kept columns).
 
@@ -183,6 +75,7 @@ def knn_join(
     distances rank by candidate id.  ``exclude_self`` removes the pair of equal ids.
     A feature that is null, NaN or infinite has no distance: with ``missing="error"``
     such rows are counted and refused, with ``"drop"`` they are left out on both sides.
+    Leaves of the index hold about ``block_rows`` candidates.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric} not recognized")
@@ -190,71 +83,17 @@ def knn_join(
         raise ValueError("k must be at least 1")
     if missing not in ("error", "drop"):
         raise ValueError(f"treatment {missing} of missing features not recognized")
-    spark = queries.sparkSession
     vec = F.col(features).cast("array<double>") if isinstance(features, str) else feature_vector(features)
     out_id = candidate_id if candidate_id != query_id else f"neighbor_{candidate_id}"
     kept = [F.col(c).alias(f"_keep_{c}") for c in keep]
-    q = queries.select(F.col(query_id).alias("_qid"), vec.alias("_vec"))
-    c = candidates.select(F.col(candidate_id).alias("_cid"), vec.alias("_vec"), *kept)
-    qid_type, cid_type = q.schema["_qid"].dataType, c.schema["_cid"].dataType
-    keep_fields = [T.StructField(f.name, f.dataType) for f in c.schema.fields if f.name.startswith("_keep_")]
-    schema = T.StructType([
-        T.StructField("_qid", qid_type), T.StructField("_cid", cid_type), T.StructField("_d", T.DoubleType()), *keep_fields,
-    ])
-    final_names = [query_id, out_id, "distance", "rank", *keep]
-    c = _measurable(materialize(c, "knn-candidates"), missing, "candidates")
-    q = _measurable(materialize(q, "knn-queries"), missing, "queries")
-    n_candidates = c.count()
-    if n_candidates == 0:
-        empty = spark.createDataFrame([], schema).withColumn("_rank", F.lit(1))
-        return empty.select("_qid", "_cid", "_d", "_rank", *[f.name for f in keep_fields]).toDF(*final_names)
-
     wanted = k + 1 if exclude_self else k
-    q_slot, c_slot = F.xxhash64("_qid"), F.xxhash64("_cid")
-    if n_candidates <= block_rows:
-        # One block holds all candidates: nothing to prune, so no cells are needed.
-        parts = max(1, ceil(q.count() / block_rows))
-        q = q.withColumns({"_to": F.lit(0), "_a": F.pmod(q_slot, F.lit(parts)).cast("int"), "_b": F.lit(0)})
-        c = c.withColumns({"_to": F.lit(0), "_a": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "_b": F.lit(0)})
-    else:
-        pivots = _pivots(c, min(max_pivots, ceil(n_candidates / block_rows)))
-        q = materialize(_assign_cells(q, pivots, metric), "knn-query-cells")
-        c = materialize(_assign_cells(c, pivots, metric), "knn-cells")
-        gaps = pair_distances(pivots, pivots, metric)
-        routes, blocks = _routes(*_cell_facts(q, c, wanted), gaps, wanted, block_rows)
-        # At most pivots squared routes and one row per cell.
-        route_table = F.broadcast(local_table(spark, routes, "_cell int, _to int, _least double"))
-        block_table = F.broadcast(local_table(spark, blocks, "_to int, _qblocks int, _cblocks int"))
-        q = q.withColumnRenamed("_cell", "_to").join(block_table, "_to")
-        q = q.withColumn("_a", F.pmod(q_slot, F.col("_qblocks")).cast("int"))
-        q = q.withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_cblocks") - 1)))
-        c = c.join(route_table, "_cell").filter(F.col("_dist") >= F.col("_least")).join(block_table, "_to")
-        c = c.withColumn("_b", F.pmod(c_slot, F.col("_cblocks")).cast("int"))
-        c = c.withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("_qblocks") - 1)))
-    block_keys = ["_to", "_a", "_b"]
-    names = [f.name for f in keep_fields]
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["_qid", "_cid", "_d", *names]
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=columns)
-        ids = right["_cid"].to_numpy()
-        rows, cols, dist = _nearest_in_block(
-            np.stack(left["_vec"].to_numpy()), np.stack(right["_vec"].to_numpy()), ids, k, metric,
-            left["_qid"].to_numpy() if exclude_self else None,
-        )
-        out = {"_qid": left["_qid"].to_numpy()[rows], "_cid": ids[cols], "_d": dist}
-        out.update({n: right[n].to_numpy()[cols] for n in names})
-        return pd.DataFrame(out, columns=columns)
-
-    pairs = (
-        q.select("_qid", "_vec", *block_keys).groupBy(*block_keys)
-        .cogroup(c.select("_cid", "_vec", *names, *block_keys).groupBy(*block_keys))
-        .applyInPandas(best, schema)
-    )
-    ranking = Window.partitionBy("_qid").orderBy("_d", "_cid")
-    ranked = pairs.withColumn("_rank", F.row_number().over(ranking)).filter(F.col("_rank") <= k)
-    return ranked.select("_qid", "_cid", "_d", "_rank", *names).toDF(*final_names)
+    index = index_points(candidates.select(F.col(candidate_id).alias("_cid"), vec.alias("_vec"), *kept), wanted, metric, missing, block_rows)
+    q, n_queries, _ = _measurable(queries.select(F.col(query_id).alias("_id"), vec.alias("_vec")), missing, "queries")
+    names = [f"_keep_{c}" for c in keep]
+    near = index_neighbors(index, q.withColumn("_pay", F.lit(None).cast("boolean")), k, exclude_self=exclude_self, n_queries=n_queries)
+    ranking = Window.partitionBy("_id").orderBy("_d", "_cid")
+    ranked = near.withColumn("_rank", F.row_number().over(ranking)).filter(F.col("_rank") <= k)
+    return ranked.select("_id", "_cid", "_d", "_rank", *names).toDF(query_id, out_id, "distance", "rank", *keep)
 
 
 def knn_vote(neighbors: DataFrame, query_id: str, label: str, ks: Sequence[int]) -> DataFrame:
@@ -276,25 +115,77 @@ def missing_value_donors(
 ) -> DataFrame:
     """For each missing value the k nearest rows that have it: (key, variable, donor, distance, value).
 
-    The distance uses the columns both rows know, scaled up by their share.
-    It is no metric, so no pivot bound applies: rows with gaps meet all donors
-    block by block, and every block pair keeps k donors per gap.
+    A value is missing if it is null or NaN.  The distance uses the columns
+    both rows know, scaled up by their share, so it is no metric as a whole.
+    Between rows that know the same columns it is one: donors are taken by the
+    pattern of columns they know, and each pattern of more than ``block_rows``
+    donors gets an index per set of shared columns, which rows with gaps of one
+    pattern search.  Donors of rare patterns meet them in bounded blocks.
     """
     spark = df.sparkSession
     columns = list(columns)
-    width = len(columns)
-    base = materialize(
-        df.select(F.col(key).alias("_id"), feature_vector(columns).alias("_vec")), "knn-impute"
+    named = df.select(F.col(key).alias("_id"), F.transform(feature_vector(columns), lambda x: F.nanvl(x, F.lit(None).cast("double"))).alias("_vec"))
+    known = F.array_join(F.transform("_vec", lambda x: F.when(x.isNull(), F.lit("0")).otherwise(F.lit("1"))), "")
+    base = materialize(named.withColumn("_known", known), "knn-impute")
+    patterns = {r["_known"]: r["n"] for r in base.groupBy("_known").agg(F.count("*").alias("n")).collect()}
+    common = sorted(p for p, n in patterns.items() if n > block_rows and "1" in p)
+    rare = [p for p in patterns if p not in common]
+    parts = []
+    if rare:
+        gaps = base.filter(F.contains("_known", F.lit("0"))).drop("_known")
+        donors = base.filter(F.col("_known").isin(rare)).drop("_known")
+        n_gaps = sum(n for p, n in patterns.items() if "0" in p)
+        parts.append(_donors_in_blocks(gaps, donors, len(columns), k, n_gaps, sum(patterns[p] for p in rare), block_rows))
+    indexes: dict[tuple[str, tuple[int, ...]], MetricIndex] = {}
+    for theirs in common:
+        for mine in sorted(p for p in patterns if "0" in p):
+            shared = tuple(j for j, (a, b) in enumerate(zip(mine, theirs)) if a == b == "1")
+            wanted = [j for j, (a, b) in enumerate(zip(mine, theirs)) if (a, b) == ("0", "1")]
+            if not shared or not wanted:
+                continue
+            projected = F.array(*[F.get("_vec", F.lit(j)) for j in shared])
+            if (theirs, shared) not in indexes:
+                donors = base.filter(F.col("_known") == theirs).select(F.col("_id").alias("_cid"), projected.alias("_p"), F.col("_vec").alias("_keep_vec"))
+                indexes[theirs, shared] = index_points(donors.withColumnRenamed("_p", "_vec"), k, "euclidean")
+            asking = base.filter(F.col("_known") == mine)
+            parts.append(_donors_by_index(indexes[theirs, shared], asking, projected, shared, wanted, len(columns), k, patterns[mine]))
+    if not parts:
+        kind = df.schema[key].dataType.simpleString()
+        return spark.createDataFrame([], f"`{key}` {kind}, variable string, donor {kind}, distance double, value double")
+    pairs = reduce(DataFrame.unionByName, parts)
+    ranking = Window.partitionBy("_id", "_var").orderBy("_d", "_donor")
+    ranked = pairs.withColumn("_rank", F.row_number().over(ranking)).filter(F.col("_rank") <= k)
+    labels = F.broadcast(local_table(spark, list(enumerate(columns)), "_var int, variable string"))
+    return ranked.join(labels, "_var").select(
+        F.col("_id").alias(key), "variable", F.col("_donor").alias("donor"), F.col("_d").alias("distance"),
+        F.col("_value").alias("value"),
     )
-    gaps = base.filter(F.exists("_vec", lambda x: x.isNull()))
-    n_gaps, n_all = gaps.count(), base.count()
-    qblocks, cblocks = max(1, ceil(n_gaps / block_rows)), max(1, ceil(n_all / block_rows))
+
+
+def _donors_by_index(index: MetricIndex, asking: DataFrame, projected: Column, shared: Sequence[int], wanted: Sequence[int],
+                     width: int, k: int, n: int) -> DataFrame:
+    """(_id, _var, _donor, _d, _value) of the k nearest donors of one pattern for rows of one pattern."""
+    q = materialize(asking.select("_id", projected.alias("_vec"), F.lit(None).cast("boolean").alias("_pay")), "asking")
+    near = index_neighbors(index, q, k, n_queries=n)
+    ranking = Window.partitionBy("_id").orderBy("_d", "_cid")
+    best = near.withColumn("_rank", F.row_number().over(ranking)).filter(F.col("_rank") <= k)
+    # The scaled distance comes from the values, so that equal ones of different patterns stay equal.
+    both = best.join(asking.select("_id", F.col("_vec").alias("_mine")), "_id")
+    total = reduce(lambda a, b: a + b, [F.pow(F.get("_mine", F.lit(j)) - F.get("_keep_vec", F.lit(j)), F.lit(2.0)) for j in shared])
+    scaled = F.sqrt(total * F.lit(float(width)) / F.lit(float(len(shared))))
+    entries = F.explode(F.array(*[F.struct(F.lit(j).alias("_var"), F.get("_keep_vec", F.lit(j)).alias("_value")) for j in wanted]))
+    return both.select("_id", entries.alias("e"), F.col("_cid").alias("_donor"), scaled.alias("_d")).select("_id", "e._var", "_donor", "_d", "e._value")
+
+
+def _donors_in_blocks(gaps: DataFrame, donors: DataFrame, width: int, k: int, n_gaps: int, n_donors: int, block_rows: int) -> DataFrame:
+    """(_id, _var, _donor, _d, _value): every row with a gap meets every donor, both in blocks of bounded size."""
+    qblocks, cblocks = max(1, ceil(n_gaps / block_rows)), max(1, ceil(n_donors / block_rows))
     q = gaps.withColumn("_a", F.pmod(F.xxhash64("_id"), F.lit(qblocks)).cast("int"))
     q = q.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(cblocks - 1))))
-    c = base.select(F.col("_id").alias("_donor"), F.col("_vec").alias("_dvec"))
+    c = donors.select(F.col("_id").alias("_donor"), F.col("_vec").alias("_dvec"))
     c = c.withColumn("_b", F.pmod(F.xxhash64("_donor"), F.lit(cblocks)).cast("int"))
     c = c.withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
-    kind = df.schema[key].dataType
+    kind = gaps.schema["_id"].dataType
     schema = T.StructType([
         T.StructField("_id", kind), T.StructField("_var", T.IntegerType()), T.StructField("_donor", kind),
         T.StructField("_d", T.DoubleType()), T.StructField("_value", T.DoubleType()),
@@ -310,7 +201,7 @@ def missing_value_donors(
         donors, ids = right["_donor"].to_numpy(), left["_id"].to_numpy()
         parts = []
         known, filled = ~np.isnan(y), np.nan_to_num(y)
-        for part in _chunks(len(x), len(y), 1):
+        for part in chunks(len(x), len(y), 1):
             total, shared = np.zeros((len(x[part]), len(y))), np.zeros((len(x[part]), len(y)), dtype=np.int64)
             for j in range(width):
                 both = ~np.isnan(x[part][:, j])[:, None] & known[None, :, j]
@@ -338,11 +229,4 @@ def missing_value_donors(
                 }))
         return pd.concat(parts) if parts else pd.DataFrame(columns=names)
 
-    pairs = q.groupBy("_a", "_b").cogroup(c.groupBy("_a", "_b")).applyInPandas(best, schema)
-    ranking = Window.partitionBy("_id", "_var").orderBy("_d", "_donor")
-    ranked = pairs.withColumn("_rank", F.row_number().over(ranking)).filter(F.col("_rank") <= k)
-    labels = F.broadcast(local_table(spark, list(enumerate(columns)), "_var int, variable string"))
-    return ranked.join(labels, "_var").select(
-        F.col("_id").alias(key), "variable", F.col("_donor").alias("donor"), F.col("_d").alias("distance"),
-        F.col("_value").alias("value"),
-    )
+    return q.groupBy("_a", "_b").cogroup(c.groupBy("_a", "_b")).applyInPandas(best, schema)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.metrics import binary_metrics, metrics_long
 from tabloom.operators.sampling import split_flag
+from tabloom.plans.neighbor_model import NeighborModel
 from tabloom.plans.prep import PreparationModel, load_preparation
 from tabloom.plans.studies import ForestPrefix
 
@@ -39,19 +40,30 @@ def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()[0])
 
 
-def save_model(spark: SparkSession, model: Transformer, path: str) -> None:
-    size = model.size if isinstance(model, ForestPrefix) else None
-    inner = model.model if isinstance(model, ForestPrefix) else model
-    inner.write().overwrite().save(f"{path}/model")
-    write_json(spark, {"class": type(inner).__name__, "size": size}, f"{path}/kind")
+def save_model(spark: SparkSession, model: Transformer, path: str, params: dict | None = None) -> None:
+    """Write a model and, beside it, the hyperparameters it was chosen with."""
+    if isinstance(model, NeighborModel):
+        kind = {"class": "NeighborModel", "neighbors": model.save(spark, f"{path}/model")}
+    else:
+        inner = model.model if isinstance(model, ForestPrefix) else model
+        inner.write().overwrite().save(f"{path}/model")
+        kind = {"class": type(inner).__name__, "size": model.size if isinstance(model, ForestPrefix) else None}
+    write_json(spark, {**kind, "params": params or {}}, f"{path}/kind")
 
 
 def load_model(spark: SparkSession, path: str) -> Transformer:
     kind = read_json(spark, f"{path}/kind")
+    if kind["class"] == "NeighborModel":
+        return NeighborModel.load(spark, f"{path}/model", kind["neighbors"])
     model = _MODELS[kind["class"]].load(f"{path}/model")
     return ForestPrefix(model, kind["size"]) if kind["size"] else model
 
 
+def load_params(spark: SparkSession, path: str) -> dict:
+    """The hyperparameters saved beside a model."""
+    return read_json(spark, f"{path}/kind").get("params", {})
+
+
 @dataclass
 class ModelRegistry:
     """A preparation, named models with their parameters, and a default name."""
@@ -74,7 +86,7 @@ class ModelRegistry:
     def save(self, spark: SparkSession, path: str) -> None:
         self.preparation.save(spark, f"{path}/preparation")
         for name, model in self.models.items():
-            save_model(spark, model, f"{path}/{name}")
+            save_model(spark, model, f"{path}/{name}", self.hyperparams.get(name))
         write_json(spark, {
             "models": self.list_models(), "hyperparams": self.hyperparams, "default": self.default_model,
         }, f"{path}/descriptor")

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.metrics import CLASS_METRICS, binary_metrics, weighted_metrics
 from tabloom.operators.neighbors import knn_join, knn_vote
+from tabloom.plans.neighbor_model import NeighborModel
 from tabloom.session import local_table, materialize
 
 # Fixed value: a candidate replaces the best one only by more than this.
@@ -296,21 +297,30 @@ def knn_scores(train: DataFrame, test: DataFrame, key: str, features, target: st
     return binary_metrics(joined, by=["k"])
 
 
-def knn_study(train, test, key: str, features, target: str, *, k_max=19, lag=2,
-              distances=("manhattan", "euclidean", "chebyshev"), metric="accuracy") -> Study:
+def knn_study(train, test, key: str | None, features, target: str, *, k_max=19, lag=2,
+              distances=("manhattan", "euclidean", "chebyshev"), ks: Sequence[int] | None = None, metric="accuracy", parallelism=1) -> Study:
+    """Score every k and distance: one index per distance, one neighbour list for all k.  ``features`` are columns or one vector column."""
     study = Study("KNN", metric)
     start = perf_counter()
-    ks = list(range(1, k_max + 1, lag))
-    columns = [features] if isinstance(features, str) else list(features)
-    train, test = (materialize(d.select(key, *columns, target), "knn-study") for d in (train, test))
+    ks = list(ks or range(1, k_max + 1, lag))
+    vector = F.col(features) if isinstance(features, str) else F.array(*[F.col(c).cast("double") for c in features])
+    rows = [d.select(*([key] if key else []), vector.alias("features"), F.col(target).cast("double").alias("label")) for d in (train, test)]
     for d in distances:
-        scores = {r["k"]: r[metric] for r in knn_scores(train, test, key, features, target, ks, d).collect()}
+        model = NeighborModel.fit_rows(rows[0], max(ks), key=key, metric=d)
+        votes = model.votes(rows[1].select("features", "label"), ks)
+        each = votes.select("label", F.posexplode("_votes").alias("place", "prediction"))
+        scores = {ks[r["place"]]: r[metric] for r in binary_metrics(each, by=["place"]).collect()}
         for k in ks:
-            study.offer({"metric": d, "k": k}, scores[k], None)
+            study.offer({"metric": d, "k": k}, scores[k], model.with_k(k))
     study.seconds = perf_counter() - start
     return study
 
 
+def neighbor_study(train, test, *, metric="accuracy", parallelism=4, key: str | None = None, **options) -> Study:
+    """``knn_study`` on assembled splits."""
+    return knn_study(train, test, key, "features", "label", metric=metric, parallelism=parallelism, **options)
+
+
 # The neighbour counts of the reference learner.
 KNN_GRID = (1, 5, 10, 15, 20, 25)
 
@@ -411,7 +421,7 @@ def best_models(spark, predictions: DataFrame, params: dict[str, str], by: str =
 
 STUDIES: dict[str, Callable[..., Study]] = {
     "NB": naive_bayes_study, "LR": logistic_regression_study, "DT": decision_tree_study,
-    "RF": random_forest_study, "GB": gradient_boosting_study, "MLP": mlp_study,
+    "RF": random_forest_study, "GB": gradient_boosting_study, "MLP": mlp_study, "KNN": neighbor_study,
 }
 
 
@@ -431,6 +441,6 @@ def train_models(train: DataFrame, test: DataFrame, names: Sequence[str], *, met
             if save_to and study.best_model is not None:
                 from tabloom.plans.registry import save_model
 
-                save_model(a.sparkSession, study.best_model, f"{save_to}/{name}")
+                save_model(a.sparkSession, study.best_model, f"{save_to}/{name}", study.best_params)
             done.append(study)
     return done

@@ -4,11 +4,14 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from tabloom.operators.metrics import binary_metrics, confusion_matrix, forecast_errors, roc_points, weighted_metrics
 from tabloom.plans import studies as S
+from tabloom.plans.neighbor_model import NeighborModel
 from tabloom.plans.prep import Preparation
-from tabloom.plans.registry import ModelRegistry, load_model, save_model
+from tabloom.plans.registry import ModelRegistry, load_model, load_params, save_model
 from tabloom.session import scratch_path
 from tabloom.streaming.streams import read_stream, run_available, score_stream, stream_by_period
 
@@ -140,3 +143,55 @@ def test_late_rows_are_dropped(spark):
     # The first row of the next file is older than the watermark of 02:30, the second is not.
     add(("00:20:00", 50), ("02:45:00", 4), ("06:00:00", 8))
     assert [(r["ts"].hour, r["v"]) for r in run().orderBy("ts").collect()] == [(0, 1.0), (2, 4.0), (3, 2.0)]
+
+
+def neighbor_rows(spark, n=120):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(n, 2)).round(1)
+    rows = [(i, float(a), float(b), int(a + b > 0), "t") for i, (a, b) in enumerate(x)]
+    return rows, spark.createDataFrame(rows, "id long, a double, b double, y int, note string")
+
+
+def brute_votes(train, test, k):
+    out = {}
+    for i, a, b, *_ in test:
+        near = sorted(((a - c) ** 2 + (b - d) ** 2, j, y) for j, c, d, y, _ in train)[:k]
+        ones = sum(y for *_, y in near)
+        out[i] = float(ones * 2 > k)
+    return out
+
+
+def test_neighbor_model_scores_batches_and_streams_after_loading(spark, tmp_path):
+    rows, df = neighbor_rows(spark)
+    train, test = df.filter("id >= 40"), df.filter("id < 40")
+    parts = [S.assemble(d, ["a", "b"], "y", "id") for d in (train, test)]
+    S.train_models(*parts, ["KNN"], options={"KNN": {"ks": (5,), "distances": ("euclidean",), "key": "id"}}, save_to=str(tmp_path / "m"))
+    model = load_model(spark, str(tmp_path / "m" / "KNN"))
+    assert load_params(spark, str(tmp_path / "m" / "KNN")) == {"metric": "euclidean", "k": 5}
+    batch = model.transform(parts[1])
+    assert batch.columns == ["id", "features", "label", "prediction"]
+    want = brute_votes(rows[40:], rows[:40], 5)
+    assert {r["id"]: r["prediction"] for r in batch.collect()} == want
+    # Repeated rows and other columns travel with the stream.
+    twice = test.unionByName(test).select("id", "note", F.array("a", "b").alias("features"))
+    twice.write.parquet(str(tmp_path / "rows"))
+    scored = model.transform(read_stream(spark, str(tmp_path / "rows"), twice.schema))
+    got = run_available(scored, str(tmp_path / "scored"))
+    assert sorted((r["id"], r["note"], r["prediction"]) for r in got.collect()) == sorted((i, "t", p) for i, p in want.items() for _ in range(2))
+
+
+def test_neighbor_model_in_a_registry(spark, tmp_path):
+    rows, df = neighbor_rows(spark)
+    fitted = Preparation(key="id", target="y", scaling="minmax").fit(df.drop("note"))
+    train = S.assemble(fitted.prepared.filter("split = 'train'"), fitted.features, "y", "id")
+    registry = ModelRegistry(fitted)
+    registry.add("near", NeighborModel.fit_rows(train, 3, key="id"), {"k": 3})
+    registry.save(spark, str(tmp_path / "r"))
+    loaded = ModelRegistry.load(spark, str(tmp_path / "r"))
+    assert loaded.list_models() == ["near"] and loaded.hyperparams == {"near": {"k": 3}}
+    got = {r["id"]: r["prediction"] for r in loaded.predict(df.drop("note")).collect()}
+    scaled = [(r["id"], *r["features"].toArray().tolist(), int(r["label"]), "t") for r in train.collect()]
+    every = VectorAssembler(inputCols=fitted.features, outputCol="features").transform(fitted.transform(df.drop("note"))).collect()
+    assert got == brute_votes(scaled, [(r["id"], *r["features"].toArray().tolist()) for r in every], 3)
+    with pytest.raises(ValueError, match="up to 3"):
+        loaded.models["near"].with_k(4)

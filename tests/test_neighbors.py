@@ -1,10 +1,13 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabloom.operators.balancing import smote_balance, synthetic_rows
 from tabloom.operators.missing import impute_by_neighbors
-from tabloom.operators.neighbors import METRICS, knn_join, knn_vote, pair_distances
+from tabloom.operators.metric_index import build_index, index_neighbors, visited_leaves
+from tabloom.operators.neighbors import METRICS, feature_vector, index_points, knn_join, knn_vote, missing_value_donors, pair_distances
+from tabloom.session import materialize
 
 COLUMNS = ["a", "b", "c"]
 
@@ -68,7 +71,9 @@ def test_imputation_by_neighbors(spark):
     x[1::6, 1] = np.nan
     x[8] = np.nan
     pdf = pd.DataFrame(x, columns=COLUMNS).assign(id=np.arange(90))
-    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "a double, b double, c double, id long")
+    holes = pdf.astype(object).where(pdf.notna(), None)
+    holes.loc[4, "a"] = float("nan")  # a NaN is a gap as well
+    df = spark.createDataFrame([tuple(r) for r in holes.itertuples(index=False)], "a double, b double, c double, id long")
     for block_rows in (20, 5000):
         got = impute_by_neighbors(df, "id", COLUMNS, 5, block_rows=block_rows).orderBy("id").toPandas()[COLUMNS].to_numpy()
         for i in range(90):
@@ -111,3 +116,57 @@ def test_incomplete_features_are_refused_or_left_out(spark, block_rows):
         knn_join(faulty, whole, **settings)
     left = knn_join(faulty, faulty, missing="drop", **settings)
     assert sorted((r["id"], r["neighbor_id"]) for r in left.collect()) == [(0, 1), *((i, i - 1) for i in range(1, 20))]
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_deep_trees_equal_brute_force(spark, metric):
+    rng = np.random.default_rng(12)
+    c = np.concatenate([rng.normal(size=(500, 3)), rng.integers(0, 2, size=(100, 3)).astype(float), np.full((40, 3), 7.0)])
+    q = np.concatenate([rng.normal(size=(60, 3)), np.full((5, 3), 7.0), rng.normal(50, 1, size=(5, 3))])
+    rows = materialize(table(spark, c, "_cid").select("_cid", feature_vector(COLUMNS).alias("_vec")), "points")
+    index = build_index(rows, metric, 3, len(c), leaf_rows=60, fanout=3)
+    assert index.depth >= 2 and index.nodes.filter("level = 1").agg(F.sum("n")).first()[0] == len(c)
+    asking = materialize(table(spark, q, "_id").select("_id", feature_vector(COLUMNS).alias("_vec"), F.lit(None).cast("boolean").alias("_pay")), "asking")
+    near = index_neighbors(index, asking, 6).toPandas().sort_values(["_id", "_d", "_cid"])
+    got = near.groupby("_id")["_cid"].apply(lambda v: list(v[:6]))
+    order, _ = brute(q, c, 6, metric)
+    assert [got[k] for k in range(len(q))] == order.tolist()
+
+
+def test_visits_do_not_grow_with_the_points(spark):
+    """Ten times the points cost a query no more leaves, because the leaves get smaller."""
+    seen = []
+    for n in (2_000, 20_000):
+        rng = np.random.default_rng(3)
+        points = spark.createDataFrame(pd.DataFrame(rng.uniform(size=(n, 2)), columns=["a", "b"]).assign(_cid=np.arange(n)))
+        index = index_points(points.select("_cid", feature_vector(["a", "b"]).alias("_vec")), 5, "euclidean", leaf_rows=200)
+        asking = points.filter("_cid < 300").select(F.col("_cid").alias("_id"), feature_vector(["a", "b"]).alias("_vec"), F.lit(None).cast("boolean").alias("_pay"))
+        asking = materialize(asking, "asking")
+        near = index_neighbors(index, asking, 5, n_queries=300).groupBy("_id").agg(F.sort_array(F.collect_list("_d"))[4].alias("bound"))
+        visits = visited_leaves(index, asking.join(near, "_id"), "bound").agg(F.avg("n")).first()[0]
+        seen.append(visits)
+        assert index.nodes.count() >= n / 400
+    assert max(seen) < 8 and seen[1] < 1.5 * seen[0]
+
+
+def test_common_patterns_of_gaps_use_an_index(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, size=(400, 3)).astype(float)
+    x[:60, 0] = np.nan
+    x[60:100, 1] = np.nan
+    x[100:104, :2] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) + (i,) for i, r in enumerate(x)], "a double, b double, c double, id long")
+    want = {}
+    for i in range(400):
+        for j in range(3):
+            if np.isnan(x[i, j]):
+                options = []
+                for o in range(400):
+                    shared = ~np.isnan(x[i]) & ~np.isnan(x[o])
+                    if not np.isnan(x[o, j]) and shared.any():
+                        options.append((np.sqrt(((x[i] - x[o])[shared] ** 2).sum() * 3 / shared.sum()), o))
+                want[i, COLUMNS[j]] = [o for _, o in sorted(options)[:4]]
+    for block_rows in (30, 4096):
+        rows = missing_value_donors(df, "id", COLUMNS, 4, block_rows=block_rows).toPandas().sort_values(["id", "variable", "distance", "donor"])
+        got = {k: list(v) for k, v in rows.groupby(["id", "variable"])["donor"]}
+        assert got == want

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 from tabloom.operators.aggregates import (
-    box_statistics, class_balance, count_outliers, describe, distinct_counts, histogram, most_frequent,
+    box_statistics, class_balance, count_outliers, describe, describe_groups, distinct_counts, histogram, most_frequent,
 )
 from tabloom.operators.correlation import correlations, redundant_variables
 from tabloom.operators.quantiles import exact_quantiles
@@ -110,3 +110,42 @@ def test_equally_frequent_numbers_are_compared_as_numbers(spark):
 def test_histogram_has_bins_without_rows(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (float("nan"),)], "v double")
     assert [(r["bin"], r["n"]) for r in histogram(df, "v", 5).orderBy("bin").collect()] == [(0, 1), (1, 0), (2, 0), (3, 0), (4, 1)]
+
+
+def scans_of(spark, run, rows=2000):
+    """How often ``run`` reads a table, by counting its rows as they pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"x": rng.normal(size=rows), "y": rng.exponential(3, rows), "g": np.arange(rows) % 7})
+    run(spark.createDataFrame(pdf).mapInArrow(count, "x double, y double, g long"))
+    return seen.value / rows
+
+
+@pytest.mark.parametrize("settings", [{}, {"small_cells": 0, "accuracy": 200}, {"small_cells": 0, "accuracy": 100, "collect_rows": 3}])
+def test_two_scans_describe_all_columns(spark, settings):
+    assert scans_of(spark, lambda df: describe(df, ["x", "y", "g"], **settings)) == 2
+
+
+def test_outliers_and_boxes_need_one_more_scan(spark):
+    assert scans_of(spark, lambda df: count_outliers(df, ["x", "y"], small_cells=0, accuracy=200).collect()) == 3
+    assert scans_of(spark, lambda df: box_statistics(df, ["x", "y"]).collect()) == 3
+
+
+@pytest.mark.parametrize("settings", [{}, {"accuracy": 20}, {"accuracy": 20, "group_rows": 400}])
+def test_any_number_of_groups(spark, settings):
+    rng = np.random.default_rng(4)
+    group = np.where(rng.random(4000) < 0.3, 0, rng.integers(1, 600, 4000))
+    pdf = pd.DataFrame({"g": group, "x": np.where(rng.random(4000) < 0.2, 5.0, rng.normal(size=4000))})
+    rows = [(int(g), float(x)) for g, x in pdf.itertuples(index=False)] + [(None, 1.0), (None, 2.0), (1000, None), (1000, float("nan"))]
+    got = {r["g"]: r for r in describe_groups(spark.createDataFrame(rows, "g int, x double").repartition(5), "g", "x", **settings).collect()}
+    want = pdf.groupby("g")["x"].describe()
+    assert len(got) == len(want) + 2
+    for g, row in want.iterrows():
+        assert [got[g][f] for f in ("count", "min", "q25", "q50", "q75", "max")] == pytest.approx([row[c] for c in ("count", "min", "25%", "50%", "75%", "max")], abs=1e-12)
+    assert (got[None]["count"], got[None]["q50"]) == (2, 1.5) and (got[1000]["count"], got[1000]["q50"]) == (0, None)
