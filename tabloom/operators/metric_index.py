@@ -40,6 +40,8 @@ MAX_DEPTH = 12
 QUERY_ROWS = 8192
 STREAM_PARTS = 4
 CHUNK_CELLS = 4_000_000
+#: Pairs of queries and points of one task where all points are one leaf.
+TASK_CELLS = 8_000_000
 _LOOSE = 1e-9
 
 
@@ -318,7 +320,7 @@ def index_neighbors(index: MetricIndex, queries: DataFrame, k: int, *, exclude_s
 
     if not index.depth and n_queries is not None:
         # One leaf holds all points: the number of tasks follows from the number of queries.
-        parts = max(1, ceil(n_queries / QUERY_ROWS))
+        parts = max(1, ceil(n_queries * index.n / TASK_CELLS))
         q = q.withColumn("_node", F.pmod(F.xxhash64("_id"), F.lit(parts)))
         copies = leaves.withColumn("_node", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
         order = q.columns

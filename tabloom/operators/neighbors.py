@@ -16,6 +16,8 @@ from tabloom.operators.metric_index import LEAF_ROWS, METRICS, MetricIndex, buil
 from tabloom.session import local_table, materialize
 
 BLOCK_ROWS = 4096
+#: So many candidates are compared with every query; more get a tree.
+DIRECT_ROWS = 16_384
 
 __all__ = ["METRICS", "knn_join", "knn_vote", "missing_value_donors", "pair_distances"]
 
@@ -40,19 +42,22 @@ def _measurable(rows: DataFrame, missing: str, side: str) -> tuple[DataFrame, in
     return written.filter("_whole").drop("_whole"), counts["whole"], counts["width"] or 0
 
 
-def index_points(candidates: DataFrame, k: int, metric: str, missing: str = "error", leaf_rows: int = LEAF_ROWS) -> MetricIndex:
+def index_points(candidates: DataFrame, k: int, metric: str, missing: str = "error", leaf_rows: int | None = None) -> MetricIndex:
     """The index of candidates (_cid, _vec, kept columns) for the ``k`` nearest at most.
 
+    Up to ``DIRECT_ROWS`` candidates stay one leaf unless ``leaf_rows`` is given.
+
     Of equal vectors only the ``k`` smallest ids can be among them, so further copies stay outside.
     """
     rows, n, width = _measurable(candidates, missing, "candidates")
-    if n > leaf_rows:
+    direct, leaf_rows = leaf_rows or DIRECT_ROWS, leaf_rows or LEAF_ROWS
+    if n > direct:
         copies = Window.partitionBy("_vec").orderBy("_cid")
         seen = Observation()
         few = rows.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k).drop("_copy")
         rows = materialize(few.observe(seen, F.count("*").alias("n")), "different-points")
         n = seen.get["n"]
-    return build_index(rows, metric, width, n, leaf_rows=leaf_rows)
+    return build_index(rows, metric, width, n, leaf_rows=leaf_rows if n > direct else direct)
 
 
 def knn_join(
@@ -67,7 +72,7 @@ def knn_join(
     exclude_self: bool = False,
     keep: Sequence[str] = (),
     missing: str = "error",
-    block_rows: int = LEAF_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """The k nearest candidates of every query: (query id, candidate id, distance, rank, kept columns).
 
@@ -75,7 +80,7 @@ def knn_join(
     distances rank by candidate id.  ``exclude_self`` removes the pair of equal ids.
     A feature that is null, NaN or infinite has no distance: with ``missing="error"``
     such rows are counted and refused, with ``"drop"`` they are left out on both sides.
-    Leaves of the index hold about ``block_rows`` candidates.
+    Leaves of the index hold about ``block_rows`` candidates, if it is given.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric} not recognized")

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,11 +75,13 @@ class NeighborModel(Transformer):
         rest = [c for c in df.columns if not (vector and c == self.features)]
         pay = F.struct(*rest, F.col("_vec").alias("_features"))
         q = named.select("_id", "_vec", pay.alias("_pay"))
-        slots = STREAM_SLOTS
+        slots, n = STREAM_SLOTS, None
         if not df.isStreaming:
-            q = materialize(q, "scored")
-            slots = max(1, ceil(q.count() / SLOT_ROWS))
-        near = index_neighbors(self.index, q, max(ks))
+            seen = Observation()
+            q = materialize(q.observe(seen, F.count("*").alias("n")), "scored")
+            n = seen.get["n"]
+            slots = max(1, ceil(n / SLOT_ROWS))
+        near = index_neighbors(self.index, q, max(ks), n_queries=n)
         kind = T.StructType([T.StructField("_pay", q.schema["_pay"].dataType), T.StructField("_votes", T.ArrayType(T.DoubleType()))])
         near = near.select("_id", "_cid", "_d", "_keep_label", "_pay").withColumn("_slot", F.pmod(F.xxhash64("_id"), F.lit(slots)).cast("int"))
         scored = near.groupBy("_slot").applyInArrow(lambda table: _elect(table, ks), kind)

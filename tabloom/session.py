@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tabloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+class TemporaryTables:
+    """Written tables of a piece of work, deleted when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` to stay when the others go."""
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+        self.paths = []
+
+
+_open_scopes: list[TemporaryTables] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables materialized inside are deleted at the end; what is needed later must be written with ``keep``."""
+    scope = TemporaryTables(spark)
+    _open_scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _open_scopes.remove(scope)
+        scope.delete()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -63,6 +99,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _open_scopes:
+        _open_scopes[-1].paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
