@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.joins import short_list
-from tabloom.session import materialize
+from tabloom.session import materialize, temporary_tables
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -144,5 +144,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WOR
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no benchmark item was found."""
-    found = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    with temporary_tables(docs.sparkSession) as scope:
+        found = scope.keep(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
     return docs.join(short_list(found), "doc_id", "left_anti")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.components import connected_components, smallest_reachable
 from tabloom.llm.joins import short_list
 from tabloom.llm.words import bound_batches, mix, shingle_sets, split_words, text_slices
-from tabloom.session import materialize
+from tabloom.session import materialize, temporary_tables
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -289,7 +289,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows without a doc_id stay.
     """
-    judged = materialize(jaccard_join(docs), "judged")
+    with temporary_tables(docs.sparkSession) as scope:
+        judged = scope.keep(jaccard_join(docs), "judged")
     gone = materialize(judged.where("not kept").select("doc_id").distinct(), "gone")
     kept = docs.join(short_list(gone), "doc_id", "left_anti").select(docs.columns)
     repeated = judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
