@@ -1,5 +1,6 @@
 """Whole preparations, experiments, saved models and scoring."""
 
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from tabloom.catalog.a_aggregates import rounded
@@ -12,7 +13,7 @@ from tabloom.operators.joins import lookup_join
 from tabloom.plans.experiment import ExperimentConfig, run_experiment
 from tabloom.plans.prep import Preparation, load_preparation
 from tabloom.plans.registry import ModelRegistry
-from tabloom.plans.studies import DecisionTreeClassifier, assemble, naive_bayes
+from tabloom.plans.studies import DecisionTreeClassifier, ForestPrefix, assemble, naive_bayes
 from tabloom.session import materialize, scratch_path
 from tabloom.streaming.streams import prepare_stream, read_stream, run_available, score_stream
 
@@ -202,3 +203,13 @@ def st2_preparation(t):
     return rounded(out.select("doc_id", "n_chars", "source_freq"), ["n_chars", "source_freq"], 6)
 
 
+@query("st2_stream_forest")
+def st2_forest(t):
+    """A stream scored by the first 30 of 40 trees."""
+    fitted = document_preparation(scaling="minmax").fit(labelled_documents(t))
+    train = assemble(materialize(fitted.prepared, "prepared").filter("split = 'train'"), fitted.features, "quality")
+    registry = ModelRegistry(fitted)
+    forest = RandomForestClassifier(numTrees=40, maxDepth=4, seed=42).fit(train)
+    registry.add("forest", ForestPrefix(forest, 30), {"trees": 30})
+    stream = documents_stream(t, labelled_documents(t).drop("quality"))
+    return run_available(score_stream(stream, registry), scratch_path(t.spark, "scored"))

@@ -13,6 +13,7 @@ from tabloom.operators.metrics import (
     metrics_long,
     roc_points,
     weighted_metrics,
+    wide_metrics,
 )
 from tabloom.operators.order import lagged
 from tabloom.operators.sampling import tag_split
@@ -101,6 +102,30 @@ def q06(t):
     return rounded(roc_points(labelled_documents(t), "quality", "n_chars"), ["fpr", "tpr"], 6)
 
 
+SCORE_COLUMNS = {"chars": "n_chars", "words": "words", "toxic": "toxic"}
+ROC_SQL = " union all ".join(f"select '{m}' as model, cast({c} as double) as score, quality from {DOCS_SQL}" for m, c in SCORE_COLUMNS.items())
+
+
+@query("q06_roc_by_model", f"""
+with d as (select model, score as threshold, count(*) filter (quality = 1) as p, count(*) filter (quality = 0) as n from ({ROC_SQL}) group by 1, 2)
+select model, threshold, round(sum(n) over w / sum(n) over (partition by model), 6) as fpr, round(sum(p) over w / sum(p) over (partition by model), 6) as tpr
+from d window w as (partition by model order by threshold desc)
+""")
+def q06_models(t):
+    entries = F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("score")) for m, c in SCORE_COLUMNS.items()])
+    scored = labelled_documents(t).select("quality", F.explode(entries).alias("e")).select("e.model", "e.score", "quality")
+    return rounded(roc_points(scored, "quality", "score", by=["model"]), ["fpr", "tpr"], 6)
+
+
+@query("q07_scores_of_models", f"""
+with m as ({metrics_sql('model', RULES_SQL)}) select model, metric, round(value, 6) as value from (unpivot m on {", ".join(SCORES)} into name metric value value)
+""")
+def q07_scores(t):
+    docs = labelled_documents(t)
+    wide = docs.select(F.col("quality").alias("label"), *[F.expr(f"CASE WHEN {r} THEN 1 ELSE 0 END").alias(n) for n, r in RULES.items()])
+    return rounded(metrics_long(wide_metrics(wide, "label", {n: n for n in RULES}), ["model"]), ["value"], 6)
+
+
 PERSISTENCE_SQL = f"""(select i, ts, value as y, lag(value) over (order by i) as p,
   case when i < floor(count(*) over () * 0.9::double) then 'train' else 'test' end as role from {HOURLY_SQL})"""
 

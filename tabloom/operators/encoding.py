@@ -7,7 +7,7 @@ from math import pi
 
 from pyspark.ml import Estimator
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from tabloom.functions.text import place_parts, recode
 from tabloom.operators.aggregates import relative_frequencies, value_frequencies
 from tabloom.operators.columns import default_missing_category
 from tabloom.operators.joins import coded_lookup
-from tabloom.operators.order import assign_row_index, group_positions
+from tabloom.operators.order import assign_row_index, group_positions, windowed
 from tabloom.operators.stages import FittedStage
 from tabloom.session import local_table, materialize
 
@@ -165,18 +165,36 @@ class OneHotVector(Estimator):
 def hierarchy_codes(df: DataFrame, levels: Sequence[str]) -> DataFrame:
     """Sorted rank of each value within its parent, for each level of a hierarchy.
 
-    Returns the distinct paths with ``<level>_code`` columns from 1.
+    Returns the distinct paths with ``<level>_code`` columns from 1.  The paths
+    are sorted once.  A row starts a new value of a level where its path down
+    to that level differs from the row before; a code is the number of starts
+    since the parent last started, within a block of rows and, by one row a
+    block, across blocks.
     """
-    codes = df.select(*levels).distinct().na.drop("any")
-    for depth, level in enumerate(levels):
-        path = list(levels[: depth + 1])
-        distinct = codes.select(*path).distinct()
-        if depth == 0:
-            ranked = assign_row_index(distinct, [level], index="_rank").df.withColumn("_rank", F.col("_rank") + 1)
-        else:
-            ranked = group_positions(distinct, path[:-1], [level], name="_rank").drop("_rank_size")
-        codes = coded_lookup(codes, ranked, path, "_rank").withColumnRenamed("_rank", f"{level}_code")
-    return codes
+    levels = list(levels)
+    ordered = assign_row_index(df.select(*levels).distinct().na.drop("any"), levels, index="_at")
+    seen = windowed(ordered, lambda w: {f"_p{i}": F.lag(c, 1).over(w) for i, c in enumerate(levels)}, before=1)
+    starts, new = {}, F.lit(False)
+    for i, c in enumerate(levels):
+        new = new | ~F.col(f"_p{i}").eqNullSafe(F.col(c))
+        starts[f"_s{i}"] = new.cast("long")
+    size = ordered.block_rows(None)
+    flagged = seen.withColumns({**starts, "_block": F.floor(F.col("_at") / F.lit(size)).cast("long")})
+    run = Window.partitionBy("_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    depth = range(len(levels))
+    summed = flagged.withColumns({f"_n{i}": F.sum(f"_s{i}").over(run) for i in depth})
+    # Of the rows that start a parent the last one has the largest count.
+    opened = summed.withColumns({f"_o{i}": F.max(F.when(F.col(f"_s{i - 1}") == 1, F.col(f"_n{i}"))).over(run) for i in depth if i})
+    opened = opened.withColumn("_o0", F.lit(None).cast("long"))
+    ends = opened.groupBy("_block").agg(*[F.max(f"_n{i}").alias(f"n{i}") for i in depth], *[F.max(f"_o{i}").alias(f"o{i}") for i in depth])
+    before, carried = [0] * len(levels), []
+    for r in sorted(ends.collect(), key=lambda r: r["_block"]):
+        carried.append((r["_block"], *before))
+        before = [before[i] + r[f"n{i}"] if r[f"o{i}"] is None else r[f"n{i}"] - r[f"o{i}"] + 1 for i in depth]
+    base = F.broadcast(local_table(df.sparkSession, carried, "_block long, " + ", ".join(f"_c{i} long" for i in depth)))
+    coded = opened.join(base, "_block")
+    code = lambda i: F.coalesce(F.col(f"_n{i}") - F.col(f"_o{i}") + 1, F.col(f"_c{i}") + F.col(f"_n{i}"))
+    return coded.select(*levels, *[code(i).alias(f"{c}_code") for i, c in enumerate(levels)])
 
 
 class PlaceModel(FittedStage):

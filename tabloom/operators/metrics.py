@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.order import Ordered, assign_row_index, prefix_sum
+from tabloom.operators.order import assign_row_index, prefix_sums
+from tabloom.session import materialize
 
 CLASS_METRICS = ("accuracy", "recall", "precision", "auc_hard", "f1")
 
@@ -79,21 +81,43 @@ def weighted_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[st
     )
 
 
-def roc_points(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score, from the highest on."""
+def roc_points(df: DataFrame, label: str, score: str, positive=1, by: Sequence[str] = ()) -> DataFrame:
+    """(by, threshold, fpr, tpr) at every distinct score, from the highest on; one curve for each group of ``by``.
+
+    All groups are sorted together and counted in one running pass; a group's
+    own counts start where it starts, so a large group still spreads over many tasks.
+    """
+    by = list(by)
     yes = F.col(label) == F.lit(positive)
-    counts = df.groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(yes).alias("_p"), F.count_if(~yes).alias("_n")
-    )
-    ordered = assign_row_index(counts, [F.desc("threshold")], index="_at")
-    totals = ordered.df.agg(F.sum("_p").alias("p"), F.sum("_n").alias("n")).first()
-    hits = Ordered(prefix_sum(ordered, F.col("_p"), "_tp"), ordered.n, ordered.index)
-    both = prefix_sum(hits, F.col("_n"), "_fp")
-    return both.select(
-        "threshold",
-        _ratio(F.col("_fp").cast("double"), F.lit(float(totals["n"] or 0))).alias("fpr"),
-        _ratio(F.col("_tp").cast("double"), F.lit(float(totals["p"] or 0))).alias("tpr"),
-    )
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]
+    names = [f"_k{i}" for i in range(len(by))]
+    counts = df.groupBy(*keys, F.col(score).alias("threshold")).agg(F.count_if(yes).alias("_p"), F.count_if(~yes).alias("_n"))
+    ordered = assign_row_index(counts, [*names, F.desc("threshold")], index="_at")
+    running = prefix_sums(ordered, {"_tp": F.col("_p"), "_fp": F.col("_n")})
+    totals = ordered.df.groupBy(*names).agg(F.sum("_p").alias("_all_p"), F.sum("_n").alias("_all_n"), F.min("_at").alias("_at"))
+    if not by:
+        all_rows = totals.first()
+        constants = {"_all_p": all_rows["_all_p"] or 0, "_all_n": all_rows["_all_n"] or 0, "_tp0": 0, "_fp0": 0}
+        return _curve(running.withColumns({c: F.lit(v).cast("long") for c, v in constants.items()}), [], [])
+    firsts = running.select("_at", (F.col("_tp") - F.col("_p")).alias("_tp0"), (F.col("_fp") - F.col("_n")).alias("_fp0"))
+    groups = materialize(totals.join(firsts, "_at").drop("_at").toDF(*[f"_g{i}" for i in range(len(by))], "_all_p", "_all_n", "_tp0", "_fp0"), "curves")
+    same = reduce(lambda a, b: a & b, [F.col(f"_k{i}").eqNullSafe(F.col(f"_g{i}")) for i in range(len(by))])
+    return _curve(running.join(groups, same), names, by)
+
+
+def _curve(counted: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
+    rate = lambda hits, start, total: _ratio((F.col(hits) - F.col(start)).cast("double"), F.col(total).cast("double"))
+    return counted.select(*[F.col(n).alias(c) for n, c in zip(names, by)], "threshold", rate("_fp", "_fp0", "_all_n").alias("fpr"), rate("_tp", "_tp0", "_all_p").alias("tpr"))
+
+
+def wide_metrics(df: DataFrame, label: str, predictions: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """``binary_metrics`` of several models whose predictions stand side by side: (model, by, metrics), in one pass.
+
+    ``predictions`` maps a model's name to its column.
+    """
+    entries = F.array(*[F.struct(F.lit(name).alias("model"), F.col(column).cast("double").alias("prediction")) for name, column in predictions.items()])
+    each = df.select(*by, F.col(label).cast("double").alias("label"), F.explode(entries).alias("e")).select("e.model", *by, "label", "e.prediction")
+    return binary_metrics(each, by=["model", *by])
 
 
 def forecast_errors(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

@@ -103,26 +103,29 @@ def windowed(
     return spread.select("*", *[c.alias(n) for n, c in added.items()]).filter("_own").drop("_own", "_block")
 
 
-def prefix_sum(ordered: Ordered, value: Column, name: str, *, block_rows: int | None = None) -> DataFrame:
-    """Running total of ``value`` up to and including each row."""
+def prefix_sums(ordered: Ordered, values: dict[str, Column], *, block_rows: int | None = None) -> DataFrame:
+    """Running totals of several columns up to and including each row, from one pass over the blocks."""
     spark = ordered.df.sparkSession
     size = ordered.block_rows(block_rows)
+    names = {f"_v{i}": v for i, v in enumerate(values.values())}
     blocked = ordered.df.withColumn("_block", F.floor(F.col(ordered.index) / F.lit(size)).cast("long"))
-    blocked = blocked.withColumn("_value", F.coalesce(value, F.lit(0)))
-    sums = sorted(
-        (r["_block"], r["s"]) for r in blocked.groupBy("_block").agg(F.sum("_value").alias("s")).collect()
-    )
-    kind = blocked.agg(F.sum("_value").alias("s")).schema["s"].dataType.simpleString()
-    offsets, total = [], None
-    for block, part in sums:
-        offsets.append((block, total if total is not None else part - part))
-        total = part if total is None else total + part
-    base = F.broadcast(local_table(spark, offsets, f"_block long, _before {kind}"))
+    blocked = blocked.withColumns({n: F.coalesce(v, F.lit(0)) for n, v in names.items()})
+    sums = blocked.groupBy("_block").agg(*[F.sum(n).alias(n) for n in names])
+    kinds = {n: sums.schema[n].dataType.simpleString() for n in names}
+    totals, offsets = dict.fromkeys(names), []
+    for r in sorted(sums.collect(), key=lambda r: r["_block"]):
+        offsets.append((r["_block"], *[t if t is not None else r[n] - r[n] for n, t in totals.items()]))
+        totals = {n: r[n] if t is None else t + r[n] for n, t in totals.items()}
+    base = F.broadcast(local_table(spark, offsets, "_block long, " + ", ".join(f"_b{n} {k}" for n, k in kinds.items())))
     spec = Window.partitionBy("_block").orderBy(ordered.index).rowsBetween(Window.unboundedPreceding, 0)
-    local = blocked.withColumn("_local", F.sum("_value").over(spec))
-    return local.join(base, "_block").withColumn(name, F.col("_before") + F.col("_local")).drop(
-        "_block", "_value", "_local", "_before"
-    )
+    local = blocked.withColumns({f"_l{n}": F.sum(n).over(spec) for n in names})
+    added = {name: F.col(f"_b{n}") + F.col(f"_l{n}") for name, n in zip(values, names)}
+    return local.join(base, "_block").withColumns(added).drop("_block", *names, *[f"_l{n}" for n in names], *[f"_b{n}" for n in names])
+
+
+def prefix_sum(ordered: Ordered, value: Column, name: str, *, block_rows: int | None = None) -> DataFrame:
+    """Running total of ``value`` up to and including each row."""
+    return prefix_sums(ordered, {name: value}, block_rows=block_rows)
 
 
 def difference(ordered: Ordered, columns: Sequence[str], *, series: Sequence[str] = (), suffix: str = "_diff",
@@ -146,18 +149,44 @@ def lagged(ordered: Ordered, column: str, max_lag: int, delta: int = 1, *, serie
     )
 
 
+#: Windows of more rows are put together from two running sums.
+DIRECT_WINDOW = 32
+
+
 def rolling_mean(ordered: Ordered, column: str, sizes: Sequence[int], *, series: Sequence[str] = (),
                  block_rows: int | None = None) -> DataFrame:
-    """Trailing means; null until a full window of non-null values is available."""
+    """Trailing means; null until a full window of non-null values is available.
 
-    def build(w: WindowSpec) -> dict[str, Column]:
-        out = {}
-        for n in sizes:
-            frame = w.rowsBetween(-(n - 1), 0)
-            out[f"mean_{n}"] = F.when(F.count(column).over(frame) == n, F.avg(column).over(frame))
-        return out
-
-    return windowed(ordered, build, before=max(sizes) - 1, series=series, block_rows=block_rows)
+    Rows are cut into chunks as long as the window.  A window is the end of one
+    chunk and the start of the next, so its sum is a running sum from the back
+    plus one from the front: three additions a row for any window length, and
+    nothing is ever subtracted, so nothing cancels.
+    """
+    wide = [n for n in sizes if n > DIRECT_WINDOW]
+    spread = with_halo(ordered, max(sizes) - 1, 0, block_rows=block_rows)
+    own = Window.partitionBy("_block", *series).orderBy(ordered.index)
+    idx = F.col(ordered.index)
+    known = F.col(column).isNotNull().cast("long")
+    steps = {}
+    for n in wide:
+        chunk = F.floor(idx / F.lit(n))
+        for way, order in (("front", F.asc(ordered.index)), ("back", F.desc(ordered.index))):
+            run = Window.partitionBy("_block", *series, chunk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+            steps[f"_{way}_sum_{n}"] = F.sum(F.col(column).cast("double")).over(run)
+            steps[f"_{way}_n_{n}"] = F.sum(known).over(run)
+    summed = spread.select("*", *[c.alias(name) for name, c in steps.items()])
+    means = {}
+    for n in sizes:
+        if n not in wide:
+            frame = own.rowsBetween(-(n - 1), 0)
+            means[f"mean_{n}"] = F.when(F.count(column).over(frame) == n, F.avg(column).over(frame))
+            continue
+        whole = F.pmod(idx, F.lit(n)) == n - 1
+        back = {part: F.when(whole, F.lit(0)).otherwise(F.lag(f"_back_{part}_{n}", n - 1).over(own)) for part in ("sum", "n")}
+        full = F.col(f"_front_n_{n}") + back["n"] == n
+        means[f"mean_{n}"] = F.when(full, (F.col(f"_front_sum_{n}") + back["sum"]) / n)
+    out = summed.select("*", *[c.alias(name) for name, c in means.items()])
+    return out.filter("_own").drop("_own", "_block", *steps)
 
 
 def head_share(ordered: Ordered, share: float) -> tuple[DataFrame, DataFrame]:

@@ -17,11 +17,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.operators.metrics import binary_metrics, metrics_long
+from tabloom.operators.metrics import metrics_long, wide_metrics
 from tabloom.operators.sampling import split_flag
 from tabloom.plans.neighbor_model import NeighborModel
 from tabloom.plans.prep import PreparationModel, load_preparation
 from tabloom.plans.studies import ForestPrefix
+from tabloom.session import local_table
 
 _MODELS = {
     c.__name__: c
@@ -111,16 +112,22 @@ class ModelRegistry:
         return scored.select(key, F.lit(chosen).alias("model"), "prediction")
 
     def evaluate(self, df: DataFrame) -> DataFrame:
-        """(model, split, metric, value) of every model on a 75/25 split of a labelled table."""
-        from functools import reduce
+        """(model, split, metric, value, hyperparams) of every model on a 75/25 split of a labelled table.
 
+        The features are made once; each model adds a column of predictions to
+        the same rows, and all of them are counted in one pass.
+        """
         key, target = self.preparation.state["key"], self.preparation.state["target"]
         flag = split_flag(key, 1 - self.test_size)
-        base = self._assembled(df).select(
-            key, "features", F.col(target).cast("double").alias("label"),
+        wide = self._assembled(df).select(
+            "features", F.col(target).cast("double").alias("label"),
             F.when(flag, F.lit("train")).otherwise(F.lit("test")).alias("split"),
         )
-        parts = [
-            m.transform(base).select(F.lit(n).alias("model"), "split", "label", "prediction") for n, m in self.models.items()
-        ]
-        return metrics_long(binary_metrics(reduce(DataFrame.unionByName, parts), by=["model", "split"]), ["model", "split"])
+        columns = {}
+        for i, (name, model) in enumerate(self.models.items()):
+            kept = wide.columns
+            columns[name] = f"_prediction{i}"
+            wide = model.transform(wide).withColumnRenamed("prediction", columns[name]).select(*kept, columns[name])
+        scores = metrics_long(wide_metrics(wide.drop("features"), "label", columns, ["split"]), ["model", "split"])
+        params = local_table(df.sparkSession, [(n, json.dumps(self.hyperparams.get(n, {}), sort_keys=True)) for n in self.models], "model string, hyperparams string")
+        return scores.join(F.broadcast(params), "model")

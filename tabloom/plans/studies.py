@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 from time import perf_counter
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.classification import (
@@ -26,12 +28,12 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.metrics import CLASS_METRICS, binary_metrics, weighted_metrics
 from tabloom.operators.neighbors import knn_join, knn_vote
+from tabloom.plans.flat_trees import flat_trees, running_totals
 from tabloom.plans.neighbor_model import NeighborModel
 from tabloom.session import local_table, materialize
 
 # Fixed value: a candidate replaces the best one only by more than this.
 DELTA_IMPROVE = 0.001
-TREES_PER_PLAN = 25
 SEED = 42
 
 
@@ -174,7 +176,7 @@ def mlp_study(train, test, n_features: int, *, max_iterations=1000, lag=250, rat
 
 
 class ForestPrefix(Transformer):
-    """The first ``size`` trees of a trained ensemble as a predictor.
+    """The first ``size`` trees of a trained ensemble as a predictor, for batches and streams.
 
     ``total`` adds the trees' outputs; the class is 1 when the total passes
     ``cut * size`` (share of votes) or 0 (margin).
@@ -187,9 +189,7 @@ class ForestPrefix(Transformer):
     def _transform(self, df: DataFrame) -> DataFrame:
         if self.size == len(self.model.trees):
             return self.model.transform(df).drop("rawPrediction", "probability")
-        # A stream cannot be written on the way, so all its trees stay in one plan.
-        per_plan = self.size if df.isStreaming else TREES_PER_PLAN
-        scored = ensemble_totals(df, self.model, [self.size], per_plan)
+        scored = ensemble_totals(df, self.model, [self.size])
         return scored.withColumn("prediction", ensemble_prediction(self.model, self.size)).drop(f"_at_{self.size}")
 
 
@@ -197,30 +197,22 @@ def _is_forest(model) -> bool:
     return "RandomForest" in type(model).__name__
 
 
-def ensemble_totals(df: DataFrame, model, sizes: Sequence[int], per_plan: int = TREES_PER_PLAN) -> DataFrame:
-    """Running totals of the tree outputs at the wanted ensemble sizes.
+def ensemble_totals(df: DataFrame, model, sizes: Sequence[int]) -> DataFrame:
+    """Running totals of the tree outputs at the wanted ensemble sizes, as columns ``_at_<size>``.
 
-    Each tree scores the rows once, whatever the number of sizes.  After
-    ``per_plan`` trees the totals are written, so the plan stays short.
+    All trees score a batch of rows in one pass, whatever the number of sizes
+    or trees, and nothing is written on the way.
     """
-    trees, weights = model.trees, list(model.treeWeights)
-    forest = _is_forest(model)
-    last = max(sizes)
-    df = df.withColumn("_total", F.lit(0.0))
-    for i, tree in enumerate(trees[:last]):
-        if forest:
-            tree.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_out")
-            output = vector_to_array("_out")[1]
-        else:
-            tree.setPredictionCol("_out")
-            output = F.col("_out") * F.lit(float(weights[i]))
-        tree.setFeaturesCol("features")
-        df = tree.transform(df).withColumn("_total", F.col("_total") + output).drop("_out")
-        if i + 1 in sizes:
-            df = df.withColumn(f"_at_{i + 1}", F.col("_total"))
-        if (i + 1) % per_plan == 0 and i + 1 < last:
-            df = materialize(df, "trees")
-    return df.drop("_total")
+    sizes = sorted(sizes)
+    sent = df.sparkSession.sparkContext.broadcast(flat_trees(df.sparkSession, model, sizes[-1]))
+
+    @F.pandas_udf("array<double>")
+    def totals(features: pd.Series) -> pd.Series:
+        x = np.stack(features.to_numpy()) if len(features) else np.empty((0, 0))
+        return pd.Series(list(running_totals(x, sent.value, sizes)))
+
+    scored = df.withColumn("_totals", totals(vector_to_array("features")))
+    return scored.withColumns({f"_at_{n}": F.get("_totals", F.lit(i)) for i, n in enumerate(sizes)}).drop("_totals")
 
 
 def ensemble_prediction(model, size: int):

@@ -7,7 +7,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tabloom.operators.metrics import binary_metrics, confusion_matrix, forecast_errors, roc_points, weighted_metrics
+from tabloom.operators.metrics import binary_metrics, confusion_matrix, forecast_errors, roc_points, weighted_metrics, wide_metrics
 from tabloom.plans import studies as S
 from tabloom.plans.neighbor_model import NeighborModel
 from tabloom.plans.prep import Preparation
@@ -38,13 +38,12 @@ def test_grid_sizes():
     assert S.tree_sizes(20, 10) == [10, 20]
 
 
-@pytest.mark.parametrize("per_plan", [3, 100])
-def test_full_prefix_is_the_model(splits, per_plan):
+def test_full_prefix_is_the_model(splits):
     train, test = splits
     for model in (RandomForestClassifier(numTrees=7, maxDepth=3, seed=1).fit(train), GBTClassifier(maxIter=5, maxDepth=2, seed=1).fit(train)):
         size = len(model.trees)
         want = {r["id"]: r["prediction"] for r in model.transform(test).collect()}
-        totals = S.ensemble_totals(test, model, [2, size], per_plan)
+        totals = S.ensemble_totals(test, model, [2, size])
         got = {r["id"]: r["p"] for r in totals.select("id", S.ensemble_prediction(model, size).alias("p")).collect()}
         assert got == want
         assert {r["id"]: r["prediction"] for r in S.ForestPrefix(model, size).transform(test).collect()} == want
@@ -57,6 +56,26 @@ def test_boosting_prefix_is_a_shorter_model(splits):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, short.transform(test).select("id", "prediction").collect()))
 
 
+def test_all_sizes_of_a_large_forest_in_one_pass(spark, splits, tmp_path):
+    train, test = splits
+    model = RandomForestClassifier(numTrees=30, maxDepth=4, seed=1).fit(train)
+    totals = S.ensemble_totals(test, model, [1, 10, 30])
+    rows = {r["id"]: r for r in totals.collect()}
+    for size in (1, 10, 30):
+        want = {}
+        for tree in model.trees[:size]:
+            for r in tree.transform(test.select("id", "features")).collect():
+                want[r["id"]] = want.get(r["id"], 0.0) + r["probability"][1]
+        assert {i: r[f"_at_{size}"] for i, r in rows.items()} == pytest.approx(want)
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    test.select("id", "features").write.parquet(str(tmp_path / "rows"))
+    stream = S.ForestPrefix(model, 29).transform(read_stream(spark, str(tmp_path / "rows"), test.select("id", "features").schema))
+    got = run_available(stream.select("id", "prediction"), str(tmp_path / "scored"))
+    batch = S.ForestPrefix(model, 29).transform(test).select("id", "prediction")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+
 def test_saved_prefix(spark, splits):
     train, test = splits
     model = S.ForestPrefix(RandomForestClassifier(numTrees=5, maxDepth=3, seed=1).fit(train), 3)
@@ -195,3 +214,28 @@ def test_neighbor_model_in_a_registry(spark, tmp_path):
     assert got == brute_votes(scaled, [(r["id"], *r["features"].toArray().tolist()) for r in every], 3)
     with pytest.raises(ValueError, match="up to 3"):
         loaded.models["near"].with_k(4)
+
+
+def test_curves_of_several_models(spark):
+    rng = np.random.default_rng(3)
+    rows = [(m, float(rng.integers(0, 9)), int(rng.integers(0, 2))) for m in ("a", "b", None) for _ in range(60)] + [("c", 1.0, 1), ("c", 2.0, 1)]
+    df = spark.createDataFrame(rows, "model string, score double, y int")
+    got = {(r["model"], r["threshold"]): (r["fpr"], r["tpr"]) for r in roc_points(df, "y", "score", by=["model"]).collect()}
+    want = {}
+    for m in {r[0] for r in rows}:
+        own = [(s, y) for n, s, y in rows if n == m]
+        yes, no = sum(y for _, y in own), sum(1 - y for _, y in own)
+        for t in {s for s, _ in own}:
+            want[m, t] = (sum(1 - y for s, y in own if s >= t) / no if no else 0.0, sum(y for s, y in own if s >= t) / yes)
+    near = lambda points: {k: pytest.approx(v) for k, v in points.items()}
+    assert got == near(want)
+    single = {r["threshold"]: (r["fpr"], r["tpr"]) for r in roc_points(df.filter("model = 'a'"), "y", "score").collect()}
+    assert single == near({t: v for (m, t), v in want.items() if m == "a"})
+
+
+def test_metrics_of_predictions_side_by_side(spark):
+    df = spark.createDataFrame([(i % 2, i % 3 % 2, 1, "tr" if i < 20 else "te") for i in range(60)], "y int, p int, q int, split string")
+    got = {(r["model"], r["split"]): r.asDict() for r in wide_metrics(df, "y", {"first": "p", "second": "q"}, ["split"]).collect()}
+    for name, column in (("first", "p"), ("second", "q")):
+        for r in binary_metrics(df, "y", column, ["split"]).collect():
+            assert {k: got[name, r["split"]][k] for k in S.CLASS_METRICS} == {k: r[k] for k in S.CLASS_METRICS}

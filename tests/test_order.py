@@ -4,6 +4,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from tabloom.operators.encoding import hierarchy_codes
 from tabloom.operators.order import (
     Ordered, assign_row_index, difference, group_positions, head_share, lagged, prefix_sum, rolling_mean, windowed,
 )
@@ -100,3 +101,35 @@ def test_empty_table(spark):
     ordered = assign_row_index(spark.createDataFrame([], "id long, x double"), ["id"])
     assert ordered.n == 0 and ordered.df.count() == 0
     assert rolling_mean(Ordered(ordered.df, 0), "x", [3]).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [120, 1000])
+def test_long_windows_equal_pandas(spark, block_rows):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"id": np.arange(700), "g": np.arange(700) // 260, "x": rng.normal(size=700) + 1e6})
+    pdf.loc[[100, 101, 400], "x"] = np.nan
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "id long, g long, x double")
+    sizes = [5, 33, 50, 130]
+    plain = rolling_mean(assign_row_index(df, ["id"]), "x", sizes, block_rows=block_rows).orderBy("id").toPandas()
+    series = rolling_mean(assign_row_index(df, ["g", "id"]), "x", sizes, series=["g"], block_rows=block_rows).orderBy("id").toPandas()
+    for n in sizes:
+        np.testing.assert_allclose(plain[f"mean_{n}"].astype(float), pdf["x"].rolling(n).mean(), rtol=1e-12)
+        np.testing.assert_allclose(series[f"mean_{n}"].astype(float), pdf.groupby("g")["x"].rolling(n).mean().to_numpy(), rtol=1e-12)
+
+
+def test_long_windows_do_the_same_work_whatever_their_length(spark):
+    df, _ = frame(spark, 95)
+    ordered = assign_row_index(df, ["id"])
+    plans = [plan_of(rolling_mean(ordered, "x", [n], block_rows=1000)) for n in (40, 45)]
+    assert plans[0].count("Window") == plans[1].count("Window") and "specifiedwindowframe(RowFrame, -39, currentrow" not in plans[0]
+
+
+@pytest.mark.parametrize("block_rows", [2, 7, 1000])
+def test_hierarchy_codes_across_blocks(spark, block_rows, monkeypatch):
+    monkeypatch.setattr("tabloom.operators.order.BLOCK_ROWS", block_rows)
+    rng = np.random.default_rng(8)
+    rows = [tuple(f"{p}{rng.integers(4)}" for p in "abc") for _ in range(90)] + [(None, "b1", "c1")]
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in hierarchy_codes(spark.createDataFrame(rows, "u string, v string, w string"), ["u", "v", "w"]).collect()}
+    paths = sorted({r for r in rows if None not in r})
+    want = {p: tuple(sorted({q[d] for q in paths if q[:d] == p[:d]}).index(p[d]) + 1 for d in range(3)) for p in paths}
+    assert got == want
