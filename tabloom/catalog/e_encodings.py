@@ -14,6 +14,7 @@ from tabloom.operators.encoding import (
     FrequencyEncoder,
     OneHot,
     OneHotVector,
+    Refit,
     PlaceEncoder,
     REGION_STATES,
     encode_binary,
@@ -272,6 +273,27 @@ def e09(t):
     return rounded(out.select("o_orderkey", "o_orderpriority_freq"), ["o_orderpriority_freq"], 6)
 
 
+@query("e09_frequency_refit", f"""
+with f as (select o_orderpriority, count(*) / (select count(*) from orders where not ({TRAIN}))::double as freq from orders where not ({TRAIN}) group by 1)
+select o_orderkey, round(freq, 6) as o_orderpriority_freq from orders join f using (o_orderpriority) where not ({TRAIN})
+""")
+def e09_refit(t):
+    train, test = split_train_test(t.orders, "o_orderkey")
+    out = Refit(FrequencyEncoder(["o_orderpriority"])).fit(train).transform(test)
+    return rounded(out.select("o_orderkey", "o_orderpriority_freq"), ["o_orderpriority_freq"], 6)
+
+
+@query("e05_cyclic_many_ranks", """
+with r as (select o_orderkey, dense_rank() over (order by o_orderkey) - 1 as rank, count(*) over () as n from orders)
+select o_orderkey, round(sin(2 * pi() * rank / n), 6) + 0.0 as k_sin, round(cos(2 * pi() * rank / n), 6) + 0.0 as k_cos from r
+""")
+def e05_many(t):
+    df = t.orders.select("o_orderkey", F.col("o_orderkey").alias("k"))
+    out = CyclicByPeriod({}, ["k"], max_ranks=100).fit(df).transform(df)
+    # No negative zero.
+    return out.select("o_orderkey", *[(F.round(c, 6) + 0.0).alias(c) for c in ("k_sin", "k_cos")])
+
+
 @query("e10_encoding_order", f"""
 with f as (select o_orderpriority, count(*) / (select count(*) from orders)::double as freq from orders group by 1)
 select o_orderkey, cast(o_custkey % 7 as integer) as lighting_condition, {one_hot_sql('o_orderstatus', 'FOP')},

@@ -134,7 +134,8 @@ def document_preparation(**options):
 
 @query("l05_experiment_dry_run", """
 select * from (values ('outliers', 'None'), ('scaling', 'zscore'), ('balancing', 'under'), ('feature_selection', 'None'),
-  ('metric', 'accuracy'), ('dry_run', 'True'), ('label', 'zscore_under')) as v(setting, value) where (select count(*) from labels) > 0
+  ('metric', 'accuracy'), ('dry_run', 'True'), ('label', 'zscore_under')) as v(setting, value)
+union all select 'rows', cast(count(quality) as varchar) from documents join labels using (doc_id)
 """)
 def l05_dry(t):
     return run_experiment(ExperimentConfig(scaling="zscore", balancing="under", dry_run=True), featured(t), key="doc_id", target="quality")

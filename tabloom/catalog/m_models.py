@@ -165,6 +165,26 @@ def m12_trees(t):
         return S.ensemble_overfitting(t.spark, "GB", model, {"train": train, "test": test}, [2, 4, 8])
 
 
+OVER_KS = (1, 5, 9, 19)
+BOTH_SQL = votes_sql(OVER_KS).replace("on not a.train and b.train", "on b.train").replace("select a.doc_id,", "select a.doc_id, a.train,", 1).replace(
+    "select doc_id, label, k, cls,", "select doc_id, train, label, k, cls,").replace("select doc_id, label, k, arg_min", "select doc_id, train, label, k, arg_min")
+
+
+@query("m12_overfitting_k", f"""
+with {BOTH_SQL} select 'KNN' as model, cast(k as double) as param, case when train then 'train' else 'test' end as split,
+  round(avg((label = prediction)::int), 6) as value from picked group by all
+""")
+def m12_k(t):
+    train, test = splits(t)
+    return rounded(S.neighbor_overfitting(t.spark, train, test, "doc_id", ["n_chars", "words"], "quality", OVER_KS), ["value"], 6)
+
+
+@query("m12_overfitting_iterations")
+def m12_iterations(t):
+    with S.cached(*assembled(t)) as (train, test):
+        return S.iteration_overfitting(t.spark, {"train": train, "test": test}, [len(FEATURES), 10, 2], [5, 10, 20, 40])[0]
+
+
 @query("m13_loss_curve")
 def m13(t):
     with S.cached(*assembled(t)) as (train, _):

@@ -189,7 +189,12 @@ def p22_strings(t):
     return C.select_by_type(t.orders, "string")
 
 
-@query("x07_dropped_names", "select 'o_custkey' as variable union all select 'o_orderdate'")
+@query("x07_dropped_names", """
+select 'o_custkey' as variable, count(o_custkey) as n from orders union all select 'o_orderdate', count(o_orderdate) from orders
+""")
 def x07(t):
+    """The columns a step has dropped, with the values that went with them."""
     after = C.drop_columns(t.orders, ["o_custkey", "o_orderdate"])
-    return t.spark.createDataFrame([(c,) for c in C.dropped_names(t.orders.columns, after.columns)], "variable string")
+    gone = C.dropped_names(t.orders.columns, after.columns)
+    counted = t.orders.agg(*[F.count(c).alias(c) for c in gone])
+    return counted.select(F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("n")) for c in gone])).alias("e")).select("e.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from inspect import signature
 from math import pi
 
 from pyspark.ml import Estimator
@@ -281,33 +282,45 @@ class CyclicByMax(Estimator):
 class CyclicPeriodModel(FittedStage):
     def _transform(self, df: DataFrame) -> DataFrame:
         angles: dict[str, Column] = {}
+        helpers = []
         for c, ranked in self.state["ranked"].items():
             if c in df.columns:
                 ranks = {v: i for i, v in enumerate(ranked)}
                 angles[c] = modulo_angle(recode(F.col(c), ranks, strict=True), max(len(ranked), 1))
+        for c, size in self.state.get("sizes", {}).items():
+            if c in df.columns:
+                helpers.append(f"_rank_{c}")
+                df = coded_lookup(df, self.tables[c], [c], helpers[-1])
+                angles[c] = modulo_angle(F.col(helpers[-1]), size)
         for c, period in self.state["periods"].items():
             if c in df.columns:
                 angles[c] = modulo_angle(F.col(c), period)
-        return df.withColumns(circle_columns(angles)).drop(*angles) if angles else df
+        return df.withColumns(circle_columns(angles)).drop(*angles, *helpers) if angles else df
 
 
 class CyclicByPeriod(Estimator):
-    """Known periods by modulo; ``ranked`` columns (years) by their learned sorted rank."""
+    """Known periods by modulo; ``ranked`` columns (years) by their learned sorted rank.
+
+    Up to ``max_ranks`` ranks are part of the plan; more stay a table that is joined.
+    """
 
     def __init__(self, periods: dict[str, int], ranked: Sequence[str] = (), max_ranks: int = 10_000):
         super().__init__()
         self.periods, self.ranked, self.max_ranks = dict(periods), list(ranked), max_ranks
 
     def _fit(self, df: DataFrame) -> CyclicPeriodModel:
-        ranked = {}
+        ranked, sizes, tables = {}, {}, {}
         for c in self.ranked:
             if c not in df.columns:
                 continue
-            rows = df.filter(F.col(c).isNotNull()).select(c).distinct().orderBy(c).limit(self.max_ranks + 1).collect()
-            if len(rows) > self.max_ranks:
-                raise ValueError(f"{c} has more than {self.max_ranks} values; it is not a calendar column")
-            ranked[c] = [r[0] for r in rows]
-        return CyclicPeriodModel({"periods": self.periods, "ranked": ranked})
+            values = df.filter(F.col(c).isNotNull()).select(c).distinct()
+            rows = values.orderBy(c).limit(self.max_ranks + 1).collect()
+            if len(rows) <= self.max_ranks:
+                ranked[c] = [r[0] for r in rows]
+            else:
+                ordered = assign_row_index(values, [c], index=f"_rank_{c}")
+                sizes[c], tables[c] = ordered.n, ordered.df
+        return CyclicPeriodModel({"periods": self.periods, "ranked": ranked, "sizes": sizes}, tables)
 
 
 def encode_calendar(df: DataFrame) -> DataFrame:
@@ -335,7 +348,10 @@ class CyclicTwoStep(Estimator):
         self.sizes, self.ranked = dict(sizes), list(ranked)
 
     def _fit(self, df: DataFrame) -> CyclicTwoStepModel:
-        ranks = CyclicByPeriod({}, self.ranked).fit(df).state["ranked"]
+        learned = CyclicByPeriod({}, self.ranked).fit(df).state
+        if learned["sizes"]:
+            raise ValueError(f"{sorted(learned['sizes'])} have too many values for angles of their own; use CyclicByPeriod")
+        ranks = learned["ranked"]
         sizes = {c: list(v) for c, v in self.sizes.items()}
         first = CyclicTwoStepModel({"sizes": sizes, "ranked": ranks, "max": {}})
         highest = CyclicByMax([*sizes, *ranks]).fit(first.angles(df)).state["max"]
@@ -391,3 +407,35 @@ class FrequencyEncoder(Estimator):
         return FrequencyModel({"columns": present}, {
             c: materialize(relative_frequencies(df, c, f"{c}_freq"), "frequencies") for c in present
         })
+
+
+class RefitModel(FittedStage):
+    """Learns its encoder anew on every table it transforms."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        if df.isStreaming:
+            raise ValueError("nothing can be learned from a stream; fit the encoder on a table")
+        return _encoders()[self.state["encoder"]](**self.state["arguments"]).fit(df).transform(df)
+
+
+class Refit(Estimator):
+    """An encoder whose shares, city codes or year ranks follow the table at hand, not the training table.
+
+    A single row then has a share of 1 and the first rank.  This is how the
+    encoders behave that keep no state; elsewhere they learn once.
+    """
+
+    def __init__(self, encoder: Estimator):
+        super().__init__()
+        self.encoder = encoder
+
+    def _fit(self, df: DataFrame) -> RefitModel:
+        name = type(self.encoder).__name__
+        if name not in _encoders():
+            raise ValueError(f"encoder {name} cannot be learned anew")
+        names = signature(type(self.encoder).__init__).parameters
+        return RefitModel({"encoder": name, "arguments": {n: getattr(self.encoder, n) for n in names if n != "self"}})
+
+
+def _encoders() -> dict[str, type[Estimator]]:
+    return {c.__name__: c for c in (FrequencyEncoder, PlaceEncoder, CyclicByPeriod, CyclicByMax, CyclicTwoStep, OneHot, OneHotVector)}

@@ -38,11 +38,13 @@ class ExperimentConfig:
 def run_experiment(config: ExperimentConfig, df: DataFrame, *, key: str, target: str, **preparation) -> DataFrame:
     """Prepare with the switched-on stages and score the two reference learners.
 
-    A dry run returns the resolved configuration instead.
+    A dry run returns the resolved configuration instead, with the number of
+    rows that have a target.
     """
     spark = df.sparkSession
     if config.dry_run:
-        return local_table(spark, [(k, str(v)) for k, v in {**asdict(config), "label": config.label}.items()],
+        rows = df.filter(F.col(target).isNotNull()).count()
+        return local_table(spark, [(k, str(v)) for k, v in {**asdict(config), "label": config.label, "rows": rows}.items()],
                            "setting string, value string")
     stages = {s: getattr(config, s) for s in STAGES}
     model = Preparation(key=key, target=target, **stages, **preparation).fit(df)

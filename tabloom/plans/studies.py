@@ -396,6 +396,35 @@ def ensemble_overfitting(spark, name: str, model, splits: dict[str, DataFrame],
     return local_table(spark, rows, "model string, param double, split string, value double")
 
 
+def neighbor_overfitting(spark, train: DataFrame, test: DataFrame, key: str, features, target: str, ks: Sequence[int],
+                         distance: str = "euclidean", metric: str = "accuracy") -> DataFrame:
+    """(model, param, split, value) along k, on both splits, from one index and one neighbour list.
+
+    A training row is among its own neighbours, so k = 1 shows what is learned by heart.
+    """
+    vector = F.col(features) if isinstance(features, str) else F.array(*[F.col(c).cast("double") for c in features])
+    rows = {s: d.select(key, vector.alias("features"), F.col(target).cast("double").alias("label")) for s, d in (("train", train), ("test", test))}
+    model = NeighborModel.fit_rows(rows["train"], max(ks), key=key, metric=distance)
+    both = reduce(DataFrame.unionByName, [d.select(F.lit(s).alias("split"), "features", "label") for s, d in rows.items()])
+    votes = model.votes(both, list(ks)).select("split", "label", F.posexplode("_votes").alias("place", "prediction"))
+    scores = {(r["place"], r["split"]): r[metric] for r in binary_metrics(votes, by=["place", "split"]).collect()}
+    found = [("KNN", float(k), s, float(scores[(i, s)])) for i, k in enumerate(ks) for s in rows]
+    return local_table(spark, found, "model string, param double, split string, value double")
+
+
+def iteration_overfitting(spark, splits: dict[str, DataFrame], layers: Sequence[int], steps: Sequence[int], rate: float = 0.05,
+                          metric: str = "accuracy") -> tuple[DataFrame, list[float]]:
+    """((model, param, split, value) along the iterations, the training loss at each): each fit goes on from the weights of the last one."""
+    models, losses, weights, done = [], [], None, 0
+    for n in steps:
+        learner = MultilayerPerceptronClassifier(layers=list(layers), solver="gd", stepSize=rate, maxIter=n - done, seed=SEED, tol=0.0)
+        model = (learner if weights is None else learner.setInitialWeights(weights)).fit(splits["train"])
+        weights, done = model.weights, n
+        models.append((float(n), model))
+        losses.append(float(list(model.summary().objectiveHistory)[-1]))
+    return overfitting_table(spark, "MLP", models, splits, metric), losses
+
+
 def loss_curve(spark, model) -> DataFrame:
     """Training loss per iteration."""
     history = list(model.summary().objectiveHistory if callable(model.summary) else model.summary.objectiveHistory)

@@ -239,3 +239,10 @@ def test_metrics_of_predictions_side_by_side(spark):
     for name, column in (("first", "p"), ("second", "q")):
         for r in binary_metrics(df, "y", column, ["split"]).collect():
             assert {k: got[name, r["split"]][k] for k in S.CLASS_METRICS} == {k: r[k] for k in S.CLASS_METRICS}
+
+
+def test_iterations_go_on_from_the_last_weights(spark, splits):
+    train, test = splits
+    table, losses = S.iteration_overfitting(spark, {"train": train, "test": test}, [2, 5, 2], [3, 9, 30], rate=0.3)
+    assert losses == sorted(losses, reverse=True) and losses[-1] < losses[0]
+    assert {(r["param"], r["split"]) for r in table.collect()} == {(n, s) for n in (3.0, 9.0, 30.0) for s in ("train", "test")}

@@ -9,7 +9,8 @@ from tabloom.functions.dates import clock_angle, clock_label, slot_angle
 from tabloom.operators import columns as C
 from tabloom.operators.cleaning import Cleaning, RareCategoryGrouping, road_alignment_features
 from tabloom.operators.encoding import (
-    CyclicByMax, CyclicByPeriod, FrequencyEncoder, OneHot, OneHotVector, PlaceEncoder, category_codes, encode_calendar, hierarchy_codes,
+    CyclicByMax, CyclicByPeriod, FrequencyEncoder, OneHot, OneHotVector, PlaceEncoder, Refit, category_codes, encode_calendar,
+    hierarchy_codes,
 )
 from tabloom.operators.missing import Filling, drop_missing
 from tabloom.operators.outliers import Outliers
@@ -206,3 +207,22 @@ def test_stage_state_survives_saving(spark):
         path = scratch_path(spark, f"stage{i}")
         stage.save(spark, path)
         assert sorted(map(tuple, load_stage(spark, path).transform(df).collect())) == sorted(map(tuple, stage.transform(df).collect()))
+
+
+def test_an_encoder_can_follow_the_table_at_hand(spark, tmp_path):
+    train = spark.createDataFrame([("a",), ("a",), ("b",), ("b",)], "c string")
+    other = spark.createDataFrame([("a",), ("b",), ("b",), ("b",)], "c string")
+    fitted = Refit(FrequencyEncoder(["c"])).fit(train)
+    fitted.save(spark, str(tmp_path / "stage"))
+    for model in (fitted, load_stage(spark, str(tmp_path / "stage"))):
+        assert sorted(r[0] for r in model.transform(other).collect()) == [0.25, 0.75, 0.75, 0.75]
+        assert model.transform(other.limit(1)).first()[0] == 1.0
+    ranks = Refit(CyclicByPeriod({}, ["y"])).fit(train)
+    assert ranks.transform(spark.createDataFrame([(2001,)], "y int")).first()["y_cos"] == 1.0
+
+
+def test_more_ranks_than_the_plan_holds(spark):
+    df = spark.range(40).selectExpr("id * 3 as y")
+    few, many = (CyclicByPeriod({}, ["y"], max_ranks=n).fit(df) for n in (100, 5))
+    rows = lambda m: sorted(tuple(r) for r in m.transform(df).collect())
+    assert many.state["sizes"] == {"y": 40} and rows(many) == rows(few)
