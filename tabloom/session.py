@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
+import time
 import uuid
 from contextlib import contextmanager
 
@@ -55,15 +57,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tabloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+#: Seconds of work after which a scope lets Spark drop the shuffle files of finished steps.
+TIDY_SECONDS = 5.0
+
+
 class TemporaryTables:
-    """Written tables of a piece of work, deleted when it is done."""
+    """Written tables of a piece of work, deleted when it is done.
+
+    Spark deletes shuffle files when the driver's garbage collector finds that
+    no plan refers to them, which may be never while memory suffices.  A scope
+    of many steps asks for that now and then, so disk follows the step at hand.
+    """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.paths, self.tidied = spark, [], time.monotonic()
+
+    def step_done(self) -> None:
+        if time.monotonic() - self.tidied > TIDY_SECONDS:
+            self.tidy()
+
+    def tidy(self) -> None:
+        gc.collect()
+        self.spark._jvm.System.gc()
+        self.tidied = time.monotonic()
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
-        """Write ``df`` to stay when the others go."""
+        """Write ``df`` to stay when the others go; a scope around this one takes it over."""
         path = scratch_path(self.spark, label)
+        around = _open_scopes.index(self) - 1
+        if around >= 0:
+            _open_scopes[around].paths.append(path)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -73,6 +96,7 @@ class TemporaryTables:
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(conf).delete(where, True)
         self.paths = []
+        self.tidy()
 
 
 _open_scopes: list[TemporaryTables] = []
@@ -99,10 +123,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    if _open_scopes:
-        _open_scopes[-1].paths.append(path)
+    scope = _open_scopes[-1] if _open_scopes else None
+    if scope:
+        scope.paths.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    if scope:
+        del df
+        scope.step_done()
+    return written
 
 
 def local_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
