@@ -10,11 +10,17 @@ within the radius differ in few bits in at least one block, so items are
 listed under every block value that close, and an equality join finds all of
 them.  Candidates are verified by their exact weighted shingle similarity
 (each shingle weighs as often as it occurs).
+
+The radius fits windows of many shingles of little weight each.  Where one
+shingle has more than ``HEAVY`` of an item or a window, as in repetitive or
+short texts, the majority bits follow that shingle.  Such pairs are candidates
+without the radius, if they share one of the item's rarest shingles: of those
+that together are more than a similar window can lack, it has one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.joins import short_list
@@ -24,6 +30,8 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: At similarity 0.8 two fingerprints of 128 bits differ in 19 bits on average, in more than this about twice in a thousand.
 RADIUS = 31
+#: Share of a text's shingles above which one of them could turn the fingerprint.
+HEAVY = 0.04
 _BLOCKS, _BLOCK_BITS = 8, 16
 
 
@@ -104,7 +112,27 @@ def within_radius(windows: DataFrame, items: DataFrame, radius: int = RADIUS) ->
     return met.where(apart <= radius).select("doc_id", "start", "n", "item_id").distinct()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+def heavy_pairs(counted: DataFrame, windows: DataFrame, item_counts: DataFrame, items: DataFrame, threshold: float, heavy: float) -> DataFrame:
+    """(doc_id, start, n, item_id) of all pairs that can reach the threshold and have a heavy shingle on either side.
+
+    ``counted`` and ``item_counts`` have one row per different shingle of a
+    window or item, with its number ``c`` or ``item_c``.
+    """
+    window, item = ["doc_id", "start", "n"], ["item_id", "n"]
+    turned = counted.join(windows.select(*window, "weight"), window).where(F.col("c") > heavy * F.col("weight")).select(window).distinct()
+    weighed = item_counts.join(items.select(*item, F.col("weight").alias("item_weight")), item)
+    heavy_items = weighed.where(F.col("item_c") > heavy * F.col("item_weight")).select(item).distinct()
+    # A window at the threshold lacks at most this share of the item, so it has one of the rarest shingles beyond it.
+    common = item_counts.groupBy("n", "shingle").agg(F.count("*").alias("spread"))
+    order = Window.partitionBy(*item).orderBy("spread", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = weighed.join(common, ["n", "shingle"]).withColumn("rarer", F.coalesce(F.sum("item_c").over(order), F.lit(0)))
+    rare = materialize(ranked.where(F.col("rarer") <= F.lit(1 - threshold) * F.col("item_weight") + 1e-6).select(*item, "shingle"), "rare")
+    met = counted.join(turned, window, "left_semi").join(rare, ["n", "shingle"])
+    more = counted.join(rare.join(heavy_items, item, "left_semi"), ["n", "shingle"])
+    return met.select(*window, "item_id").unionByName(more.select(*window, "item_id")).distinct()
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS, threshold: float = THRESHOLD, radius: int = RADIUS, heavy: float = HEAVY) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity): each item found in each document, at its most similar window.
 
     ``start`` counts the document's normalised words; of equally similar
@@ -130,9 +158,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WOR
     windows = fingerprints(window_shingles, ["doc_id", "start", "n"])
     items = materialize(fingerprints(item_shingles, ["item_id", "n"]), "item_prints")
     windows = materialize(windows, "window_prints")
-    pairs = within_radius(windows, items, radius)
-    counted = window_shingles.groupBy("doc_id", "start", "n", "shingle").agg(F.count("*").alias("c"))
-    item_counts = item_shingles.groupBy("item_id", "n", "shingle").agg(F.count("*").alias("item_c"))
+    counted = materialize(window_shingles.groupBy("doc_id", "start", "n", "shingle").agg(F.count("*").alias("c")), "window_counts")
+    item_counts = materialize(item_shingles.groupBy("item_id", "n", "shingle").agg(F.count("*").alias("item_c")), "item_counts")
+    pairs = within_radius(windows, items, radius).unionByName(heavy_pairs(counted, windows, item_counts, items, threshold, heavy)).distinct()
     shared = (pairs.join(counted, ["doc_id", "start", "n"]).join(item_counts, ["item_id", "n", "shingle"])
               .groupBy("doc_id", "start", "n", "item_id").agg(F.sum(F.least("c", "item_c")).alias("shared")))
     sized = shared.join(windows.select("doc_id", "start", "n", "weight"), ["doc_id", "start", "n"]).join(items.select("item_id", "n", F.col("weight").alias("item_weight")), ["item_id", "n"])

@@ -51,7 +51,8 @@ def _letters(text: str) -> np.ndarray:
     if not keep.any():
         return np.zeros(0, np.uint64)
     keep[1:] |= keep[:-1]  # one space after each run of letters
-    return np.concatenate([[_SPACE], folded[keep], [_SPACE]]).astype(np.uint64)
+    line = folded[keep]
+    return np.concatenate([[_SPACE], line, [_SPACE] if line[-1] != _SPACE else []]).astype(np.uint64)
 
 
 def gram_keys(letters: np.ndarray) -> np.ndarray:

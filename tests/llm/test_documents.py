@@ -447,3 +447,72 @@ def test_stages_keep_columns_of_their_own_names(spark):
     docs = docs.withColumn("__removed", F.lit(1)).withColumn("removed", F.lit(2))
     got = {r["doc_id"]: (r["text"], r["removed"], r["__removed"]) for r in without_repeated_lines(docs).collect()}
     assert got == {1: ("a line of text that is long enough\nanother line here", 2, 1), 2: ("something else", 2, 1)}
+
+
+def test_repetitive_and_short_items_equal_brute_force(spark):
+    rng = random.Random(12)
+    bench, texts = {}, {}
+    for k in range(24):
+        tail = some_words(3000 + k, 12)
+        bench[k] = [f"a{k}", f"b{k}"] * 44 + tail
+        kept = rng.randint(2, 8)
+        texts[k] = [*some_words(k, 5), *bench[k][:88 + kept], *some_words(4000 + k, 12 - kept)]
+    for k in range(24, 60):
+        bench[k] = some_words(3000 + k, rng.randint(5, 30))
+        words = list(bench[k])
+        if k % 2:
+            words[-1] = "other"
+        texts[k] = [*some_words(k, 3), *words, *some_words(k + 500, 4)]
+    for k in range(60, 66):
+        # A document that repeats what the item has once.
+        bench[k] = some_words(3000 + k, 100)
+        texts[k] = [*bench[k][:88], *["same"] * 12]
+    want = brute_contaminated(texts, bench)
+    found = contaminated(table(spark, [(i, " ".join(w)) for i, w in texts.items()]), items(spark, [(k, " ".join(w)) for k, w in bench.items()])).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["start"], pytest.approx(r["similarity"])) for r in found}
+    assert got == want and len(want) > 40
+
+
+def brute_language(texts, langs, size):
+    """{doc_id: (language, score)} by dictionaries, as the profiles are learned from all texts that are not held out."""
+    import unicodedata
+    import zlib
+
+    def grams(text):
+        letters = "".join(c.lower() if unicodedata.category(c)[0] == "L" and len(c.lower()) == 1 else c if unicodedata.category(c)[0] == "L" else " " for c in text or "")
+        words = letters.split()
+        line = f" {' '.join(words)} " if words else ""
+        return Counter(g for n in (1, 2, 3) for k in range(len(line) - n + 1) if (g := line[k:k + n]) != " ")
+
+    top = lambda counts: [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], len(x[0]), x[0]))[:size]]
+    totals = defaultdict(Counter)
+    for i, t in texts:
+        if langs[i] is not None and t is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            totals[langs[i]] += grams(t)
+    ranks = {lang: {g: k for k, g in enumerate(top(c))} for lang, c in sorted(totals.items()) if c}
+    out = {}
+    for i, t in texts:
+        own = top(grams(t))
+        if not own:
+            out[i] = ("und", 0.0)
+            continue
+        far = {lang: sum(abs(r[g] - k) if g in r else size for k, g in enumerate(own)) for lang, r in ranks.items()}
+        best = min(far, key=lambda lang: (far[lang], lang))
+        out[i] = (best, 1 - far[best] / (size * len(own)))
+    return out
+
+
+@pytest.mark.parametrize("size", [12, 400])
+def test_ranks_and_distances_equal_dictionaries(spark, size):
+    rng = random.Random(4)
+    alphabets = {"aa": "abcdeé", "bb": "cdefgß", "cc": "efghiÄ", "same": "abcdeé"}
+    langs, texts = {}, []
+    for i in range(60):
+        langs[i] = ("aa", "bb", "cc", "same")[i % 4]
+        texts.append((i, rng.choice([" ", "-", "\n1 "]).join("".join(rng.choices(alphabets[langs[i]], k=rng.randint(1, 6))) for _ in range(rng.randint(1, 40)))))
+    texts += [(70, "ab ba " * 170_000), (71, ""), (72, None), (73, "a"), (74, "12 34"), (75, "İ ŉ ﬁ")]
+    langs |= {70: "bb", 71: "aa", 72: "aa", 73: None, 74: "cc", 75: None}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(table(spark, texts, langs), size).collect()}
+    want = brute_language(texts, langs, size)
+    assert {i: g[0] for i, g in got.items()} == {i: w[0] for i, w in want.items()}
+    assert {i: (got[i], want[i]) for i in want if abs(got[i][1] - want[i][1]) >= 1e-12} == {}
