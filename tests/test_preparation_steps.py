@@ -226,3 +226,22 @@ def test_more_ranks_than_the_plan_holds(spark):
     few, many = (CyclicByPeriod({}, ["y"], max_ranks=n).fit(df) for n in (100, 5))
     rows = lambda m: sorted(tuple(r) for r in m.transform(df).collect())
     assert many.state["sizes"] == {"y": 40} and rows(many) == rows(few)
+
+
+def test_guard_accepts_by_the_first_rows_and_refuses_by_all(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def counted(df):
+        return df.mapInArrow(count, df.schema)
+
+    good = counted(spark.range(0, 400_000, 1, 4).selectExpr("cast(1 as double) as a", "cast(0 as double) as b"))
+    assert C.guard_compatible(good, ["a", "b"]) is good and seen.value < 200_000
+    late = spark.range(0, 5_000, 1, 1).selectExpr("cast(id > 4990 as double) as a", "cast(0 as double) as b")
+    assert C.guard_compatible(late, ["a", "b"]) is late
+    with pytest.raises(ValueError, match="100.0% of the feature columns are all zero"):
+        C.guard_compatible(late.filter("a = 0"), ["a", "b"])
