@@ -55,6 +55,15 @@ long as (unpivot scored on gaussian, multinomial, bernoulli into name kind value
 picked as (select doc_id, label, kind, arg_max(cls, score) as prediction from long group by 1, 2, 3)"""
 
 
+def best_bayes_sql() -> str:
+    """CTEs up to ``x``, the metrics of the naive Bayes kind that wins in the order of the kinds."""
+    return f"""{bayes_sql()}, k as ({metrics_sql('kind', 'select * from picked')}), o as (select *, list_position(['gaussian', 'multinomial', 'bernoulli'], kind) as pos from k),
+b as (select case when g.accuracy >= greatest(m.accuracy, n.accuracy) - 0.001 then 'gaussian'
+  when m.accuracy - g.accuracy > 0.001 and n.accuracy - m.accuracy <= 0.001 then 'multinomial' else 'bernoulli' end as kind
+  from (select accuracy from o where pos = 1) g, (select accuracy from o where pos = 2) m, (select accuracy from o where pos = 3) n),
+x as (select {', '.join(SCORES)} from o join b using (kind))"""
+
+
 @query("m04_naive_bayes_study", f"""
 with {bayes_sql()} select 'NB' as model, concat('kind=', kind) as params, 'accuracy' as metric, round(avg((label = prediction)::int), 6) as value from picked group by kind
 """)
@@ -64,14 +73,7 @@ def m04(t):
     return rounded(S.study_table(t.spark, [study]), ["value"], 6)
 
 
-@query("m01_best_naive_bayes", f"""
-with {bayes_sql()}, k as ({metrics_sql('kind', 'select * from picked')}), o as (select *, list_position(['gaussian', 'multinomial', 'bernoulli'], kind) as pos from k),
-b as (select case when g.accuracy >= greatest(m.accuracy, n.accuracy) - 0.001 then 'gaussian'
-  when m.accuracy - g.accuracy > 0.001 and n.accuracy - m.accuracy <= 0.001 then 'multinomial' else 'bernoulli' end as kind
-  from (select accuracy from o where pos = 1) g, (select accuracy from o where pos = 2) m, (select accuracy from o where pos = 3) n),
-x as (select {', '.join(SCORES)} from o join b using (kind))
-select metric, round(value, 6) as value from (unpivot x on {', '.join(SCORES)} into name metric value value)
-""")
+@query("m01_best_naive_bayes", f"with {best_bayes_sql()} select metric, round(value, 6) as value from (unpivot x on {', '.join(SCORES)} into name metric value value)")
 def m01(t):
     with S.cached(*assembled(t)) as (train, test):
         best = S.best_naive_bayes(train, test)
@@ -95,10 +97,28 @@ def m02(t):
     return rounded(S.knn_scores(train, test, "doc_id", ["n_chars", "words"], "quality", S.KNN_GRID), SCORES, 6)
 
 
-@query("m03_evaluate_approach")
+def best_neighbors_sql() -> str:
+    """CTEs up to ``kx``, the metrics of the k that wins when they are tried in order."""
+    votes = votes_sql(S.KNN_GRID, columns=FEATURES).replace("v as (", "kv as (", 1).replace("from v a join v b", "from kv a join kv b")
+    for name, uses in (("dist", ("from dist)",)), ("near", ("from near join",)), ("votes", ("from votes group",)), ("picked", ())):
+        votes = votes.replace(f"{name} as (", f"k{name} as (", 1)
+        for use in uses:
+            votes = votes.replace(use, use.replace(name, f"k{name}"))
+    return f"""{votes}, km as ({metrics_sql('k', 'select * from kpicked')}), tried as (select *, row_number() over (order by k) as pos from km),
+walk(pos, top, best) as (select 0, 0.0::double, null::bigint union all
+  select w.pos + 1, case when t.accuracy - w.top > 0.001 then t.accuracy else w.top end, case when t.accuracy - w.top > 0.001 then t.pos else w.best end
+  from walk w join tried t on t.pos = w.pos + 1),
+kx as (select {', '.join(SCORES)} from tried where pos = (select best from walk order by pos desc limit 1))"""
+
+
+@query("m03_evaluate_approach", f"""
+with recursive {best_bayes_sql()}, {best_neighbors_sql()}
+select metric, round(a.value, 6) as nb, round(b.value, 6) as knn from (unpivot x on {', '.join(SCORES)} into name metric value value) a
+join (unpivot kx on {', '.join(SCORES)} into name metric value value) b using (metric)
+""")
 def m03(t):
     train, test = splits(t)
-    return S.evaluate_approach(train, test, "doc_id", FEATURES, "quality")
+    return rounded(S.evaluate_approach(train, test, "doc_id", FEATURES, "quality"), ["nb", "knn"], 6)
 
 
 @query("m05_logistic_regression_study")

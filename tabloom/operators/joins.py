@@ -11,24 +11,44 @@ from collections.abc import Sequence
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.session import materialize
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 << 20
 HOT_SHARE = 0.001
 
 
-def is_small(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``limit`` rows and its values about ``max_bytes``; counted per task, no rows move."""
+def _width(df: DataFrame) -> Column:
+    """About how many bytes a row's values take."""
     fixed = sum(isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema)
     wide = [f.name for f in df.schema if not isinstance(f.dataType, T.AtomicType) or isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in wide), F.lit(8 * fixed)).cast("long")
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in wide), F.lit(8 * fixed)).cast("long")
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``limit`` rows and its values about ``max_bytes``; counted per task, no rows move."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
     return rows <= limit and size <= max_bytes
 
 
+#: Operators that make it worth to write a lookup before it is measured and joined.
+_WORK = ("Join", "Aggregate", "Window", "Generate", "Distinct", "Deduplicate", "Sort", "MapIn")
+
+
+def measured_lookup(lookup: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """(the lookup, whether it is small); one that has to be worked out is written and measured on the way, so that is done once."""
+    plan = lookup._jdf.queryExecution().analyzed().toString()
+    if not any(name in plan for name in _WORK):
+        return lookup, is_small(lookup, limit, max_bytes)
+    seen = Observation()
+    written = materialize(lookup.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_width(lookup)), F.lit(0)).alias("size")), "lookup")
+    return written, seen.get["rows"] <= limit and seen.get["size"] <= max_bytes
+
+
 def hot_keys(fact: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
     """(keys, parts): combinations that hold more than ``share`` of the rows, at most ``1/share``, and how many shares each holds."""
     limit = fact.count() * share
@@ -47,7 +67,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``fact`` with a lookup that has one row per key; a hot key is spread in proportion to its rows, ``salts`` ways at least."""
     keys = list(keys)
-    if is_small(lookup, limit):
+    lookup, small = measured_lookup(lookup, limit)
+    if small:
         return fact.join(F.broadcast(lookup), keys, how)
     if fact.isStreaming:
         return fact.join(lookup, keys, how)
