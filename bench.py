@@ -20,13 +20,13 @@ from tabloom.session import build_session  # noqa: E402
 HEADLINE = [
     "s01_load_csv", "s08_sample_exact", "s08_sample_with_replacement", "s09_shuffle",
     "a03_distinct_counts", "a04_describe", "a04_describe_bracketed", "a08_correlation", "a08_correlation_wide",
-    "a10_count_outliers", "a11_histogram_auto", "a12_box_statistics", "a17_redundant_earlier", "a21_summary_by_granularity",
+    "a10_count_outliers", "a11_histogram_auto", "a12_box_statistics", "a17_redundant_earlier", "a21_summary_by_granularity", "a21_summary_of_many_groups",
     "w01_row_position", "w02_difference_by_series", "w04_rolling_mean", "w05_running_count",
     "g01_variable_types", "g06_sparsity_pairs", "g07_pair_density",
     "c01_clean_flights_style", "c03_rare_categories", "e02_hierarchy_codes", "e03_one_hot", "e05_cyclic_by_period", "e09_frequency",
     "i02_fill_frequent", "i04_impute_by_neighbors", "o03_truncate", "n02_zscore", "b01_under_balance", "b02_over_balance",
     "b03_smote_balance", "k02_stratified_split", "j01_lookup_salted", "j06_nearest_neighbors", "j07_minority_neighbors",
-    "q01_binary_metrics", "q06_roc_points", "q08_forecast_errors",
+    "q01_binary_metrics", "q06_roc_points", "q06_roc_by_model", "q08_forecast_errors",
     "t05_aggregate_by_period", "t07_autocorrelation", "t08_regular_grid", "t09_decompose_even", "t11_dickey_fuller", "st3_stream_by_hour",
     "m04_naive_bayes_study", "m07_decision_tree_study", "m08_random_forest_study", "m06_knn_study",
     "l02_flagship_preparation", "q07_registry_evaluate",

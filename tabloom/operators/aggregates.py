@@ -78,35 +78,28 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @dataclass
 class ClassBalance:
-    counts: dict
+    """The rarest and the most frequent class with their rows; ``counts`` (class, n) stays a table, however many classes there are."""
+
     minority: object
     majority: object
-
-    @property
-    def n_minority(self) -> int:
-        return self.counts[self.minority]
-
-    @property
-    def n_majority(self) -> int:
-        return self.counts[self.majority]
+    n_minority: int
+    n_majority: int
+    counts: DataFrame
 
     @property
     def proportion(self) -> float:
         return round(self.n_minority / self.n_majority, 2)
 
 
-MAX_CLASSES = 10_000
-
-
 def class_balance(df: DataFrame, target: str) -> ClassBalance:
     """Class counts with the rarest and most frequent class (smallest label on ties)."""
-    rows = value_counts(df, target).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} values; it is not a class label")
-    counts = {r[target]: r["n"] for r in rows}
-    minority = min(counts, key=lambda v: (counts[v], v))
-    majority = min(counts, key=lambda v: (-counts[v], v))
-    return ClassBalance(counts, minority, majority)
+    counted = df.filter(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    row = counted.agg(
+        F.min_by(target, F.struct(F.col("n"), F.col(target))).alias("minority"), F.min_by(target, F.struct(-F.col("n"), F.col(target))).alias("majority"),
+        F.min("n").alias("least"), F.max("n").alias("most")).first()
+    if row["least"] is None:
+        raise ValueError(f"{target} has no values")
+    return ClassBalance(row["minority"], row["majority"], row["least"], row["most"], counted)
 
 
 SUMMARY_FIELDS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")

@@ -68,6 +68,8 @@ def test_ties_and_nulls_in_frequencies(spark):
     assert distinct_counts(df, ["c"], keep_null=True).first()["nr_distinct"] == 3
     balance = class_balance(df, "c")
     assert (balance.minority, balance.majority, balance.proportion) == ("a", "a", 1.0)
+    many = class_balance(spark.range(20_001).selectExpr("least(id, 20000 - 1) as id"), "id")
+    assert (many.minority, many.majority, many.n_minority, many.n_majority) == (0, 19_999, 1, 2) and many.counts.count() == 20_000
 
 
 def test_correlation_paths_agree(spark):
