@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm.recurrent import GatedModel, class_starts
-from tabloom.llm.words import bound_batches, text_slices
+from tabloom.llm.words import bound_batches, text_bytes, text_slices
 from tabloom.session import local_table, materialize, scratch_path
 
 KNOWN_WORDS = 1 << 18
@@ -69,9 +69,10 @@ class Tokens:
 
 def tokens_of(texts: pa.Array) -> Tokens:
     """Words between spaces and 0x09-0x0D, A-Z lower-cased; a null text has none."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    # Arrow's ascii_lower mixes up large strings whose bytes do not begin at the first text, as those of a slice.
+    data, offsets = text_bytes(texts)
+    whole = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(whole))
     flat, offsets = split.flatten(), split.offsets.to_numpy()
     coded = pc.dictionary_encode(flat)
     full = (pc.binary_length(coded.dictionary).to_numpy() > 0)

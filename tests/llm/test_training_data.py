@@ -7,13 +7,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
 from tabloom.llm.filter_audit import filter_audit
 from tabloom.llm.hard_negatives import hard_negatives, strassen
-from tabloom.llm.lm_scoring import score_documents
+from tabloom.llm.lm_scoring import score_documents, tokens_of
 from tabloom.llm.recurrent import GatedModel, class_starts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -123,6 +124,24 @@ def test_base_scores_equal_brute_force(spark, known_words, model_words):
     assert all(abs(g[5] - w[5]) <= 1e-9 * max(1, abs(w[5])) for g, w in zip(got, want))
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("third", [None, "d D"])
+def test_tokens_of_a_slice(kind, third):
+    texts = ["Long word", "A b  a", third, "", "É C\tc c", "x"]
+    for lo, hi in itertools.combinations(range(len(texts) + 1), 2):
+        found = tokens_of(pa.array(texts, kind).slice(lo, hi - lo))
+        words = found.words.take(pa.array(found.ids)).to_pylist()
+        assert [words[a:b] for a, b in itertools.pairwise(found.bounds)] == [words_of(t) for t in texts[lo:hi]]
+
+
+def test_base_scores_of_batches_cut_into_slices(spark):
+    rows = [(k, "X" * (40_000 + 997 * k) + " y Z" * (20_000 + 1_009 * k), "en") for k in range(60)]
+    got = sorted(tuple(r)[:6] for r in score_documents(documents(spark, rows).coalesce(1), rounds=1).collect())
+    want = sorted(brute_base(rows))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert all(abs(g[5] - w[5]) <= 1e-9 * abs(w[5]) for g, w in zip(got, want))
+
+
 def test_model_learns_more_than_word_shares(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = score_documents(docs).toPandas()
