@@ -30,7 +30,7 @@ from tabloom.operators.metrics import CLASS_METRICS, binary_metrics, weighted_me
 from tabloom.operators.neighbors import knn_join, knn_vote
 from tabloom.plans.flat_trees import flat_trees, running_totals
 from tabloom.plans.neighbor_model import NeighborModel
-from tabloom.session import local_table, materialize
+from tabloom.session import local_table, materialize, scratch_path
 
 # Fixed value: a candidate replaces the best one only by more than this.
 DELTA_IMPROVE = 0.001
@@ -122,6 +122,19 @@ def run_study(name: str, grid: Sequence[tuple[dict, Callable]], test: DataFrame,
 # --- estimators --------------------------------------------------------------
 
 
+def fitted(learner, train: DataFrame) -> Transformer:
+    """A model without its training summary: it is saved and loaded.
+
+    The summary of a learner of two classes holds the session, which cannot be
+    sent to tasks any more once a table of it has been observed; a model that
+    keeps its summary then scores nothing.
+    """
+    model = learner.fit(train)
+    path = scratch_path(train.sparkSession, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def naive_bayes(kind: str) -> Pipeline:
     if kind == "bernoulli":
         flags = Binarizer(threshold=0.0, inputCol="features", outputCol="flags")
@@ -145,7 +158,7 @@ def logistic_regression_study(train, test, *, max_iterations=5000, lag=500, metr
     n = train.count()
     steps = range(lag, max_iterations + 1, lag)
     grid = [
-        ({"penalty": p, "iterations": i}, lambda p=p, i=i: logistic_regression(p, i, n).fit(train))
+        ({"penalty": p, "iterations": i}, lambda p=p, i=i: fitted(logistic_regression(p, i, n), train))
         for p in ("l1", "l2") for i in steps
     ]
     return run_study("LR", grid, test, metric, parallelism)
@@ -258,8 +271,8 @@ def random_forest_study(train, test, *, max_trees=2500, lag=500, depths=(2, 5, 7
     sizes = tree_sizes(max_trees, lag, first if first < lag else None)
     grid = [
         ({"depth": d, "share": f},
-         lambda d=d, f=f: RandomForestClassifier(
-             maxDepth=d, featureSubsetStrategy=str(f), numTrees=max(sizes), seed=SEED).fit(train))
+         lambda d=d, f=f: fitted(RandomForestClassifier(
+             maxDepth=d, featureSubsetStrategy=str(f), numTrees=max(sizes), seed=SEED), train))
         for d in depths for f in shares
     ]
     return ensemble_study("RF", train, test, grid, sizes, metric, parallelism)

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tabloom.operators.metrics import binary_metrics, confusion_matrix, forecast_errors, roc_points, weighted_metrics, wide_metrics
@@ -49,6 +50,20 @@ def test_full_prefix_is_the_model(splits):
         assert {r["id"]: r["prediction"] for r in S.ForestPrefix(model, size).transform(test).collect()} == want
 
 
+def test_models_score_after_a_table_was_observed(spark, splits):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    train, test = (d.drop("id") for d in splits)
+    linear = S.logistic_regression_study(train, test, max_iterations=10, lag=5)
+    forest = S.random_forest_study(train, test, max_trees=4, lag=2, depths=(2,), shares=(0.9,))
+    for study, n in ((linear, 4), (forest, 2)):
+        assert len(study.scores) == n
+        assert study.best_model.transform(test).where("prediction = label").count() / test.count() == pytest.approx(study.best_value)
+    done = S.train_models(train, test, ["LR"], options={"LR": {"max_iterations": 5, "lag": 5}})
+    assert done[0].scores[0] == linear.scores[0]
+
+
 def test_boosting_prefix_is_a_shorter_model(splits):
     train, test = splits
     long, short = (GBTClassifier(maxIter=n, maxDepth=2, seed=1).fit(train) for n in (6, 3))
