@@ -8,8 +8,10 @@ from pathlib import Path
 
 import pytest
 import sentencepiece
+from conftest import plan_of
 from pyspark.sql import functions as F
 
+from tabloom.llm import line_dedup
 from tabloom.llm.decontaminate import contaminated, within_radius, without_contaminated
 from tabloom.llm.jaccard_forest import found_chance, jaccard_join, one_of_each, prefix_depth
 from tabloom.llm.language_id import held_out, identify, recognised
@@ -332,6 +334,21 @@ def test_near_lines_of_a_template_family_equal_brute_force(spark, block):
     assert sum(want[i] != got[i] for i in want) <= 2
 
 
+def test_blocks_of_lines_get_texts_and_no_sets(spark, monkeypatch):
+    written, tables = line_dedup.materialize, []
+
+    def watched(df, label):
+        tables.append((df.columns, plan_of(df)))
+        return written(df, label)
+
+    monkeypatch.setattr(line_dedup, "materialize", watched)
+    assert repeated_lines(table(spark, template_lines(60)), block=16).where("n_removed > 0").count() >= 58
+    blocks = [plan for _, plan in tables if "unit_a" in plan]
+    assert len(blocks) == 1 and not any("set" in columns for columns, _ in tables)
+    # Sets are made above the shuffle of the copies.
+    assert blocks[0].index("array_distinct") < blocks[0].index("REPARTITION_BY_NUM") and "array_distinct" not in blocks[0][blocks[0].rindex("REPARTITION_BY_NUM"):]
+
+
 def test_documents_keep_their_other_lines(spark):
     docs = table(spark, [(1, "first line here\nshared line of text"), (2, "shared line of text\nsecond"), (3, "shared line of text"), (4, None), (5, "")])
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in without_repeated_lines(docs).collect()}
