@@ -9,11 +9,17 @@ from tabloom.llm.jaccard_forest import one_of_each
 from tabloom.llm.language_id import recognised
 from tabloom.llm.line_dedup import without_repeated_lines
 from tabloom.llm.piece_encoding import encode_texts
+from tabloom.llm.words import bound_batches
 from tabloom.session import scratch_path
 
 
+#: Bytes of a batch of texts; workers of earlier stages stay in an executor's memory, so a stage sends little at once.
+BATCH_BYTES = 2 << 20
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the others go."""
+    bound_batches(spark, size=BATCH_BYTES)
     return recognised(docs)
 
 
@@ -34,7 +40,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the remaining texts, with digests of the ids and of the text decoded from them."""
-    return encode_texts(docs, with_ids=True).drop("decoded")
+    bound_batches(spark, size=BATCH_BYTES)
+    return encode_texts(docs, with_ids=True, with_decoded=False)
 
 
 STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("benchmark", benchmark), ("encode", encode)]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,9 @@ MIN_SCORE = 0.1
 _BITS = 21
 _SPACE = 32
 _fold: list[np.ndarray] = []
-_FLUSH_KEYS = 1 << 22
+#: N-grams of texts that a task holds before it counts them, and different ones before it hands them on.
+_FLUSH_KEYS = 1 << 20
+_HELD_GRAMS = 1 << 20
 
 
 def _folding() -> np.ndarray:
@@ -78,26 +81,60 @@ def ranked_grams(text: str, size: int) -> np.ndarray:
     return grams[np.argsort(-counts, kind="stable")][:size]
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, and the sum of the counts of each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+class GramTally:
+    """N-gram counts of one task by language.  At most about ``flush`` n-grams of texts wait to be counted."""
+
+    def __init__(self, flush: int = _FLUSH_KEYS):
+        self.flush, self.size = flush, 0
+        self.waiting: dict[str, list[np.ndarray]] = {}
+        self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def add(self, lang: str, keys: np.ndarray) -> None:
+        if len(keys):
+            self.waiting.setdefault(lang, []).append(keys)
+            self.size += len(keys)
+        if self.size >= self.flush:
+            self.count()
+
+    def count(self) -> None:
+        for lang, keys in self.waiting.items():
+            found = np.unique(np.concatenate(keys), return_counts=True)
+            if lang in self.known:
+                found = _summed(*(np.concatenate(p) for p in zip(self.known[lang], found)))
+            self.known[lang] = found
+        self.waiting, self.size = {}, 0
+
+    @property
+    def different(self) -> int:
+        return sum(len(grams) for grams, _ in self.known.values())
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """(lang, gram, n) so far; counting then starts anew."""
+        self.count()
+        for lang, (grams, n) in self.known.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+        self.known = {}
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n): n-gram counts of all texts, summed per task before the shuffle."""
 
-    def tally(held):
-        for lang, keys in held.items():
-            grams, counts = np.unique(np.concatenate(keys), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"])
-
     def run(batches):
-        held, size = {}, 0
+        tally = GramTally()
         for batch in text_slices(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                keys = gram_keys(_letters(text))
-                if len(keys):
-                    held.setdefault(lang, []).append(keys)
-                    size += len(keys)
-                if size >= _FLUSH_KEYS:
-                    yield from tally(held)
-                    held, size = {}, 0
-        yield from tally(held)
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                tally.add(lang, gram_keys(_letters(text.as_py())))
+            if tally.different >= _HELD_GRAMS:
+                yield from tally.rows()
+        yield from tally.rows()
 
     counted = docs.where("lang is not null and text is not null").select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -182,6 +219,18 @@ def recognised(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is recognised; ``und`` and scores below ``min_score`` go."""
     bound_batches(docs.sparkSession)
     profiles = learn_profiles(docs.where(~held_out("doc_id")))
-    found = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    judged = predict_language(found, profiles, keep=("__row",))
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("__row.*")
+    ranks = docs.sparkSession.sparkContext.broadcast(Ranks(profiles, PROFILE_SIZE))
+    # A row's text is sent to its task once, inside the row.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    at = docs.columns.index("text") if "text" in docs.columns else [c.lower() for c in docs.columns].index("text")
+
+    def run(batches):
+        for batch in batches:
+            row = batch.column("row")
+            both = pa.RecordBatch.from_arrays([row, row.field(at)], names=["row", "text"])
+            for part in text_slices([both]):
+                found = (ranks.value.predict(t.as_py()) for t in part.column("text"))
+                kept = pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("row").filter(kept)], names=["row"])
+
+    return rows.mapInArrow(run, rows.schema).select("row.*")

@@ -319,15 +319,17 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_texts(docs: DataFrame, model: Callable[[], str] = default_model, with_ids: bool = False) -> DataFrame:
+def encode_texts(docs: DataFrame, model: Callable[[], str] = default_model, with_ids: bool = False, with_decoded: bool | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) for every row of ``docs`` (doc_id, text).
 
     ``model`` gives the model file's path on the executor that runs it.  A null
     or empty text has no ids and decodes to the empty string.  Other columns
-    are not read; repeated rows are encoded each.
+    are not read; repeated rows are encoded each.  The decoded texts come with
+    the ids unless ``with_decoded`` says otherwise.
     """
     bound_batches(docs.sparkSession)
-    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")
+    with_decoded = with_ids if with_decoded is None else with_decoded
+    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded string" * with_decoded
 
     def run(batches):
         own = encoder(model())
@@ -338,8 +340,11 @@ def encode_texts(docs: DataFrame, model: Callable[[], str] = default_model, with
                        pa.array([digest(f[1]) for f in found], pa.string()), pa.array([digest(f[2]) for f in found], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns += [pa.array([np.fromstring(f[1], dtype=np.int32, sep=",") for f in found], pa.list_(pa.int32())), pa.array([f[2] for f in found], pa.string())]
-                names += ["ids", "decoded"]
+                columns += [pa.array([np.fromstring(f[1], dtype=np.int32, sep=",") for f in found], pa.list_(pa.int32()))]
+                names += ["ids"]
+            if with_decoded:
+                columns += [pa.array([f[2] for f in found], pa.string())]
+                names += ["decoded"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, kind)

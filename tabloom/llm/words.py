@@ -25,9 +25,9 @@ _WORD_BASE = 0xD1342543DE82EF95
 _powers: dict[int, np.ndarray] = {}
 
 
-def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
+def bound_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
     """Keep Arrow batches of whole texts small; a value the user has set stays."""
-    for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20)), ("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))):
+    for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", str(size)), ("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))):
         if spark.conf.get(key, None) in (None, "10000", str(2**31 - 1)):
             spark.conf.set(key, value)
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 import sentencepiece
 from conftest import plan_of
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tabloom.llm import line_dedup
 from tabloom.llm.decontaminate import contaminated, within_radius, without_contaminated
 from tabloom.llm.jaccard_forest import found_chance, jaccard_join, one_of_each, prefix_depth
-from tabloom.llm.language_id import held_out, identify, recognised
+from tabloom.llm.language_id import GramTally, held_out, identify, recognised
 from tabloom.llm.license_scan import default_licenses, scan_licenses
 from tabloom.llm.license_texts import LICENSE_TEXTS
 from tabloom.llm.line_dedup import repeated_lines, without_repeated_lines
@@ -74,6 +75,39 @@ def test_languages(spark):
     assert left.columns == docs.columns and left.count() == 81
 
 
+def test_n_grams_are_counted_in_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    parts = [(lang, rng.integers(0, 3000, 200_000).astype(np.uint64)) for lang in "abc" * 20]
+    tracemalloc.start()
+    tally = GramTally()
+    for lang, keys in parts:
+        tally.add(lang, keys.copy())
+    got = {}
+    for batch in tally.rows():
+        for lang, gram, n in zip(*(c.to_pylist() for c in batch.columns)):
+            got[lang, gram] = got.get((lang, gram), 0) + n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = {}
+    for lang in "abc":
+        grams, n = np.unique(np.concatenate([k for x, k in parts if x == lang]), return_counts=True)
+        want |= {(lang, int(g)): int(c) for g, c in zip(grams, n)}
+    assert got == want
+    # All keys have 96 MB; waiting ones 8 MB, copied to be counted.
+    assert peak < 40e6
+    assert list(tally.rows()) == []
+
+
+def test_recognised_sends_a_text_once(spark):
+    docs = table(spark, [(1, "some words"), (2, None), (3, "12")], {1: "en", 2: "en", 3: "en"})
+    left = recognised(docs.withColumnRenamed("source", "lang_pred"))
+    assert [r["doc_id"] for r in left.collect()] == [1] and "lang_pred" in left.columns
+    sent = re.findall(r"MapInArrow run\((.*?)\)", plan_of(left))
+    assert sent and not any("," in columns for columns in sent)
+
+
 def test_nothing_to_learn_from(spark):
     got = identify(table(spark, [(1, "abc")], {1: None}).withColumn("lang", F.lit(None).cast("string"))).collect()
     assert [r["lang_pred"] for r in got] == ["und"]
