@@ -80,71 +80,86 @@ class GatedModel:
         self.squares[name][rows] = squares
         self.parameters[name][rows] -= self.rate * gradient / (np.sqrt(squares) + np.float32(_EPS))
 
-    def _gates(self, before: np.ndarray, pushed: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(both gates, candidate, what the candidate gets from the state, new state) from a state and the input's share of the gates."""
+    def _for_gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """What each id pushes into the gates and the candidate, and the recurrent weights turned, as ``_gates`` takes them.
+
+        A gate at x is (1 + tanh(x / 2)) / 2; the halves are taken here.
+        """
+        pushed, recur = self.parameters["input"] + self.parameters["gate_bias"], self.parameters["recur"].T.copy()
+        pushed[:, :2 * self.hidden] *= 0.5
+        recur[:2 * self.hidden] *= 0.5
+        return pushed, recur
+
+    def _gates(self, before: np.ndarray, pushed: np.ndarray, recur: np.ndarray, own: np.ndarray, gates: np.ndarray, candidate: np.ndarray, after: np.ndarray) -> None:
+        """Fill the state's share, both gates, the candidate and the new state; a column is a stream, so each part is one run of memory."""
         h = self.hidden
-        own = before @ self.parameters["recur"]
-        gates = pushed[:, :2 * h] + own[:, :2 * h]
-        np.negative(gates, out=gates)
-        np.exp(np.minimum(gates, 30.0, out=gates), out=gates)
+        np.matmul(recur, before, out=own)
+        np.add(pushed[:2 * h], own[:2 * h], out=gates)
+        np.tanh(gates, out=gates)
         gates += 1.0
-        np.reciprocal(gates, out=gates)
-        candidate = np.tanh(pushed[:, 2 * h:] + gates[:, h:] * own[:, 2 * h:])
-        return gates, candidate, own[:, 2 * h:], candidate + gates[:, :h] * (before - candidate)
+        gates *= 0.5
+        np.multiply(gates[h:], own[2 * h:], out=candidate)
+        candidate += pushed[2 * h:]
+        np.tanh(candidate, out=candidate)
+        np.subtract(before, candidate, out=after)
+        after *= gates[:h]
+        after += candidate
 
     @staticmethod
     def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(chances, log of the sum of exponentials), by row; ``logits`` are overwritten."""
-        top = logits.max(axis=1)
-        np.exp(np.subtract(logits, top[:, None], out=logits), out=logits)
-        total = logits.sum(axis=1)
-        logits /= total[:, None]
+        """(chances, log of the sum of exponentials), by column; ``logits`` are overwritten."""
+        top = logits.max(axis=0)
+        logits -= top
+        np.exp(logits, out=logits)
+        total = logits.sum(axis=0)
+        logits /= total
         return logits, top + np.log(total)
 
-    def _by_class(self, targets: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
-        """(positions, first word, end of the words) of each word class of several words among the targets."""
+    def _by_class(self, targets: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, int, int]]]:
+        """(order by class, [(places in that order, first word, end of the words)]) for the word classes of several words among the targets."""
         classes = self.class_of[targets].astype(np.int16)
         order = np.argsort(classes, kind="stable")
         edges = np.searchsorted(classes[order], np.arange(self.n_word_classes + 1))
-        for c in np.flatnonzero(np.diff(edges)):
-            lo, hi = int(self.starts[c]), int(self.starts[c + 1])
-            if hi - lo > 1:
-                yield order[edges[c]:edges[c + 1]], lo, hi
+        some = [c for c in np.flatnonzero(np.diff(edges)) if self.starts[c + 1] - self.starts[c] > 1]
+        return order, [(slice(int(edges[c]), int(edges[c + 1])), int(self.starts[c]), int(self.starts[c + 1])) for c in some]
 
     def _train_outputs(self, states: np.ndarray, targets: np.ndarray, scale: np.float32) -> np.ndarray:
         """Update the output layers; the gradient of the states."""
         p = self.parameters
-        chances, _ = self._softmax(states @ p["classes"] + p["class_bias"])
-        chances[np.arange(len(targets)), self.class_of[targets]] -= 1.0
+        chances, _ = self._softmax(p["classes"].T @ states.T + p["class_bias"][:, None])
+        chances[self.class_of[targets], np.arange(len(targets))] -= 1.0
         chances *= scale
-        back = chances @ p["classes"].T
-        self._step("classes", states.T @ chances)
-        self._step("class_bias", chances.sum(axis=0))
-        for at, lo, hi in self._by_class(targets):
-            some = states[at]
-            inner, _ = self._softmax(some @ p["words"][lo:hi].T + p["word_bias"][lo:hi])
-            inner[np.arange(len(at)), targets[at] - lo] -= 1.0
+        back = chances.T @ p["classes"].T
+        self._step("classes", states.T @ chances.T)
+        self._step("class_bias", chances.sum(axis=1))
+        order, runs = self._by_class(targets)
+        ordered, wanted, inner_back = states[order], targets[order], np.zeros_like(states)
+        for at, lo, hi in runs:
+            some = ordered[at]
+            inner, _ = self._softmax(p["words"][lo:hi] @ some.T + p["word_bias"][lo:hi, None])
+            inner[wanted[at] - lo, np.arange(len(some))] -= 1.0
             inner *= scale
-            back[at] += inner @ p["words"][lo:hi]
-            self._step("words", inner.T @ some, slice(lo, hi))
-            self._step("word_bias", inner.sum(axis=0), slice(lo, hi))
+            np.matmul(inner.T, p["words"][lo:hi], out=inner_back[at])
+            self._step("words", inner @ some, slice(lo, hi))
+            self._step("word_bias", inner.sum(axis=1), slice(lo, hi))
+        back[order] += inner_back
         return back
 
     def _train_window(self, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarray | None, state: np.ndarray) -> np.ndarray:
         """Learn from one window (steps x streams); the state after it."""
         steps, streams = inputs.shape
-        h, p = self.hidden, self.parameters
-        pushed = p["input"][inputs] + p["gate_bias"]
+        h, p, state = self.hidden, self.parameters, state.T
+        table, recur = self._for_gates()
+        pushed = np.ascontiguousarray(table[inputs].transpose(0, 2, 1))
         begins = inputs == self.end
-        before, gates = np.empty((steps, streams, h), np.float32), np.empty((steps, streams, 2 * h), np.float32)
-        candidate, given, after = (np.empty((steps, streams, h), np.float32) for _ in range(3))
+        resets = begins.any(axis=1)
+        own, gates = np.empty((steps, 3 * h, streams), np.float32), np.empty((steps, 2 * h, streams), np.float32)
+        before, candidate, after = (np.empty((steps, h, streams), np.float32) for _ in range(3))
         for t in range(steps):
-            if begins[t].any():
-                state = np.where(begins[t][:, None], np.float32(0), state)
-            before[t] = state
-            gates[t], candidate[t], given[t], state = self._gates(state, pushed[t])
-            after[t] = state
-        flat, wanted = after.reshape(-1, h), targets.reshape(-1)
+            before[t] = np.where(begins[t], np.float32(0), state) if resets[t] else state
+            self._gates(before[t], pushed[t], recur, own[t], gates[t], candidate[t], after[t])
+            state = after[t]
+        flat, wanted = np.ascontiguousarray(after.transpose(0, 2, 1)).reshape(-1, h), targets.reshape(-1)
         scale = np.float32(1 / streams)
         if valid is None:
             back = self._train_outputs(flat, wanted, scale)
@@ -152,36 +167,35 @@ class GatedModel:
             at = np.flatnonzero(valid.reshape(-1))
             back = np.zeros_like(flat)
             back[at] = self._train_outputs(flat[at], wanted[at], scale)
-        back = back.reshape(steps, streams, h)
-        pull, own = np.empty((steps, streams, 3 * h), np.float32), np.empty((steps, streams, 3 * h), np.float32)
-        slope = np.zeros((streams, h), np.float32)
-        turned = np.ascontiguousarray(p["recur"].T)
-        open_gate = gates[:, :, :h]
+        back = np.ascontiguousarray(back.reshape(steps, streams, h).transpose(0, 2, 1))
+        pull = np.empty((steps, 3 * h, streams), np.float32)
+        slope = np.zeros((h, streams), np.float32)
         keep = gates * (1 - gates)
-        keep[:, :, :h] *= before - candidate
-        keep[:, :, h:] *= given
-        flow = (1 - open_gate) * (1 - candidate * candidate)
+        keep[:, :h] *= before - candidate
+        keep[:, h:] *= own[:, 2 * h:]
+        flow = (1 - gates[:, :h]) * (1 - candidate * candidate)
         for t in range(steps - 1, -1, -1):
             slope += back[t]
-            pull[t, :, :h] = slope * keep[t, :, :h]
-            moved = slope * flow[t]
-            pull[t, :, 2 * h:] = moved
-            pull[t, :, h:2 * h] = moved * keep[t, :, h:]
-            own[t, :, :2 * h] = pull[t, :, :2 * h]
-            own[t, :, 2 * h:] = moved * gates[t, :, h:]
-            slope = slope * open_gate[t] + own[t] @ turned
-            if begins[t].any():
-                slope[begins[t]] = 0
-        pull, own = pull.reshape(-1, 3 * h), own.reshape(-1, 3 * h)
+            np.multiply(slope, keep[t, :h], out=pull[t, :h])
+            moved = np.multiply(slope, flow[t], out=pull[t, 2 * h:])
+            np.multiply(moved, keep[t, h:], out=pull[t, h:2 * h])
+            # From here on ``own`` has the slopes of the state's share.
+            own[t, :2 * h] = pull[t, :2 * h]
+            np.multiply(moved, gates[t, h:], out=own[t, 2 * h:])
+            slope *= gates[t, :h]
+            slope += p["recur"] @ own[t]
+            if resets[t]:
+                slope[:, begins[t]] = 0
         np.clip(pull, -1, 1, out=pull)
-        self._step("recur", before.reshape(-1, h).T @ own)
-        self._step("gate_bias", pull.sum(axis=0))
+        self._step("recur", np.matmul(before, own.transpose(0, 2, 1)).sum(axis=0))
+        self._step("gate_bias", pull.sum(axis=(0, 2)))
         ids = inputs.reshape(-1)
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        pull = np.ascontiguousarray(pull.transpose(0, 2, 1)).reshape(-1, 3 * h)
         self._step("input", np.add.reduceat(pull[order], first, axis=0), ids[first])
-        return state
+        return state.T
 
     def train(self, documents: Iterator[np.ndarray]) -> int:
         """Learn from documents, each an array of ids that ends with ``end``; the number of tokens."""
@@ -213,13 +227,15 @@ class GatedModel:
     def log_chances(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of each target's chance after its state; of its class only for a group of rarer words."""
         p = self.parameters
-        logits = states @ p["classes"] + p["class_bias"]
-        found = logits[np.arange(len(targets)), self.class_of[targets]]
+        logits = p["classes"].T @ states.T + p["class_bias"][:, None]
+        found = logits[self.class_of[targets], np.arange(len(targets))]
         found = found.astype(np.float64) - self._softmax(logits)[1]
-        for at, lo, hi in self._by_class(targets):
-            inner = states[at] @ p["words"][lo:hi].T + p["word_bias"][lo:hi]
-            own = inner[np.arange(len(at)), targets[at] - lo]
-            found[at] += own.astype(np.float64) - self._softmax(inner)[1]
+        order, runs = self._by_class(targets)
+        ordered, wanted = states[order], targets[order]
+        for at, lo, hi in runs:
+            inner = p["words"][lo:hi] @ ordered[at].T + p["word_bias"][lo:hi, None]
+            own = inner[wanted[at] - lo, np.arange(inner.shape[1])]
+            found[order[at]] += own.astype(np.float64) - self._softmax(inner)[1]
         return found
 
     def score(self, documents: Sequence[np.ndarray], streams: int = 2 * STREAMS) -> np.ndarray:
@@ -246,24 +262,26 @@ class GatedModel:
             if part:
                 tokens[s, :lengths[s]] = np.concatenate([documents[k] for k in part])
         chances = np.zeros((streams, steps))
-        state, last = np.zeros((streams, self.hidden), np.float32), np.full(streams, self.end)
-        table, bias = self.parameters["input"], self.parameters["gate_bias"]
+        h = self.hidden
+        state, last = np.zeros((h, streams), np.float32), np.full(streams, self.end)
+        table, recur = self._for_gates()
         for t in range(0, steps, _SCORED_AT_ONCE):
             stop = min(steps, t + _SCORED_AT_ONCE)
             active = int(np.searchsorted(-lengths, -t))
-            inside = np.concatenate([last[:active, None], tokens[:active, t:stop]], axis=1)
-            states = np.empty((stop - t, active, self.hidden), np.float32)
-            now = state[:active]
+            inside = np.concatenate([last[:active, None], tokens[:active, t:stop]], axis=1).T
+            pushed = np.ascontiguousarray(table[inside[:-1]].transpose(0, 2, 1))
+            begins = inside[:-1] == self.end
+            resets = begins.any(axis=1)
+            states = np.empty((stop - t, h, active), np.float32)
+            own, gates, candidate = (np.empty((n * h, active), np.float32) for n in (3, 2, 1))
+            now = np.ascontiguousarray(state[:, :active])
             for k in range(stop - t):
-                ids = inside[:, k]
-                begins = ids == self.end
-                if begins.any():
-                    now = np.where(begins[:, None], np.float32(0), now)
-                now = self._gates(now, table[ids] + bias)[3]
-                states[k] = now
-            found = self.log_chances(states.reshape(-1, self.hidden), inside[:, 1:].T.reshape(-1))
+                before = np.where(begins[k], np.float32(0), now) if resets[k] else now
+                now = states[k]
+                self._gates(before, pushed[k], recur, own, gates, candidate, now)
+            found = self.log_chances(np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, h), inside[1:].reshape(-1))
             chances[:active, t:stop] = found.reshape(stop - t, active).T
-            state, last = now, inside[:, -1]
+            state, last = now, inside[-1]
         for s, part in enumerate(parts):
             if part:
                 edges = np.concatenate([[0], np.cumsum(sizes[part])[:-1]])

@@ -190,6 +190,24 @@ def test_state_is_carried_over_windows_and_documents_are_apart():
     assert np.allclose(model.score(docs, streams=10), got, atol=1e-3) and np.allclose(model.score(docs[3:4]), got[3], atol=1e-3)
 
 
+def test_gates_work_on_runs_of_memory(monkeypatch):
+    """Every step fills arrays that are there already, and what it reads and writes of them is in one piece."""
+    counts = np.array([50, 20, 10, 9, 8, 7, 3, 30, 12])
+    model, seen, real = GatedModel(class_starts(counts[:7], 3), 2, 1, 6, 0.2).start(counts), [], GatedModel._gates
+
+    def watched(self, *arrays):
+        assert real(self, *arrays) is None
+        before, pushed, recur, own, gates, candidate, after = arrays
+        seen.append(all(x.flags.c_contiguous for x in (before, pushed[:12], pushed[12:], own[:12], own[12:], gates[:6], gates[6:], candidate, after)))
+
+    monkeypatch.setattr(GatedModel, "_gates", watched)
+    docs = [np.append(np.full(n, 3), 1).astype(np.int16) for n in (30, 300, 2, 90, 700)]
+    model.train(iter(docs))
+    steps = len(seen)
+    model.score(docs, streams=3)
+    assert 0 < steps < len(seen) and all(seen)
+
+
 def test_gradients_equal_differences():
     """A window's steps follow the slope of its log-likelihood."""
     counts = np.array([5, 4, 3, 3, 2, 2, 1])
