@@ -449,6 +449,24 @@ def test_own_licence_list(spark):
     assert [(r["doc_id"], r["text_license"], r["n_units"]) for r in got] == [(1, "A", 6)]
 
 
+def test_lines_get_the_same_signatures_when_few_shingles_are_offered(spark):
+    texts = [(k, " ".join(some_words(k, n, 4000))) for k, n in enumerate((3, 20, 30, 60, 200, 800, 5000))] + [(50, "=" * 3000), (51, "ab" * 900), (52, "short")]
+    lines = line_dedup.document_lines(table(spark, texts)).localCheckpoint()
+    want = {r["id"]: list(r["bands"]) for r in line_dedup.signatures(lines).collect()}
+    few = {r["id"]: (list(r["bands"]), r["sure"]) for r in line_dedup.signatures(lines, per_bin=6).collect()}
+    # Some lines have an empty bin and one may have nothing at all; what is sure is right.
+    assert all(bands == want[i] for i, (bands, sure) in few.items() if sure) and 2 < sum(sure for _, sure in few.values()) < len(want)
+    found = line_dedup.signed_lines(table(spark, texts), lines.select("id", "doc_id", "line_no"), per_bin=6)
+    assert {r["id"]: list(r["bands"]) for r in found.collect()} == want and len(want) == len(texts)
+
+
+def test_sets_of_shingles_are_hashes(spark):
+    texts = ["a", "abcdefgh", "abcdefghi", "xyxyxyxyxyxyxyxy", "\U0001f600" * 9 + "abc", "é" * 20]
+    got = spark.createDataFrame([(t,) for t in texts], "line string").select("line", line_dedup._shingle_set("line", 8).alias("s"))
+    assert got.schema["s"].dataType.simpleString() == "array<bigint>"
+    assert {r["line"]: len(r["s"]) for r in got.collect()} == {t: len({t[k:k + 8] for k in range(max(1, len(t) - 7))}) for t in texts}
+
+
 def test_lines_that_repeat_few_shingles_are_compared(spark):
     rules = [(2 * k + n, c * (300 + 10 * n)) for k, c in enumerate("-=~*#_+.") for n in range(2)]
     found = repeated_lines(spark.createDataFrame(rules, "doc_id long, text string"))
