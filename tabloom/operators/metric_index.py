@@ -131,7 +131,7 @@ def _with(table: pa.Table, **columns: np.ndarray | pa.Array) -> pa.Table:
     return table
 
 
-def _ring_bounds(d: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+def ring_bounds(d: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
     """How near to a query a point of a node can be, a little less to be safe against rounding."""
     least = np.maximum(d - far, near - d)
     return least - _LOOSE * (1.0 + np.abs(d) + np.abs(far))
@@ -347,7 +347,7 @@ def index_neighbors(index: MetricIndex, queries: DataFrame, k: int, *, exclude_s
                 enough = (np.cumsum(n[order], axis=1) >= wanted)
                 sure = np.where(enough.any(axis=1), np.take_along_axis(reach, np.take_along_axis(order, enough.argmax(axis=1)[:, None], 1), 1)[:, 0], np.inf)
                 bound[part] = np.minimum(bound[part], sure * (1 + _LOOSE) + _LOOSE)
-            rows, cols = np.nonzero((_ring_bounds(d, near, far) <= bound[part][:, None]) & (nodes[None, :] != own[part][:, None]))
+            rows, cols = np.nonzero((ring_bounds(d, near, far) <= bound[part][:, None]) & (nodes[None, :] != own[part][:, None]))
             parts.append((rows + part.start, cols))
         rows, cols = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (0, 1))
         out = table.select(["_id", "_vec", "_own"]).take(pa.array(rows))
@@ -408,7 +408,7 @@ def visited_leaves(index: MetricIndex, queries: DataFrame, bound: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d = pair_distances(_matrix(batch.column("_vec"), width), pivots, metric)
-            n = (_ring_bounds(d, near, far) <= batch.column(bound).to_numpy()[:, None]).sum(axis=1)
+            n = (ring_bounds(d, near, far) <= batch.column(bound).to_numpy()[:, None]).sum(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n, pa.int64())], names=["_id", "n"])
 
     kind = T.StructType([queries.schema["_id"], T.StructField("n", T.LongType())])

@@ -12,12 +12,15 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.operators.metric_index import LEAF_ROWS, METRICS, MetricIndex, build_index, chunks, index_neighbors, pair_distances
+from tabloom.operators.metric_index import LEAF_ROWS, METRICS, TASK_CELLS, MetricIndex, build_index, chunks, index_neighbors, pair_distances
+from tabloom.operators.pair_sweep import index_helps, sweep_neighbors
 from tabloom.session import local_table, materialize
 
 BLOCK_ROWS = 4096
 #: So many candidates are compared with every query; more get a tree.
 DIRECT_ROWS = 16_384
+#: Copies of candidates a direct comparison may send, as a multiple of the rows of both sides.
+COPIES = 4
 
 __all__ = ["METRICS", "knn_join", "knn_vote", "missing_value_donors", "pair_distances"]
 
@@ -49,7 +52,11 @@ def index_points(candidates: DataFrame, k: int, metric: str, missing: str = "err
 
     Of equal vectors only the ``k`` smallest ids can be among them, so further copies stay outside.
     """
-    rows, n, width = _measurable(candidates, missing, "candidates")
+    return _index_of(*_measurable(candidates, missing, "candidates"), k, metric, leaf_rows)
+
+
+def _index_of(rows: DataFrame, n: int, width: int, k: int, metric: str, leaf_rows: int | None) -> MetricIndex:
+    """The index of ``n`` measured candidates."""
     direct, leaf_rows = leaf_rows or DIRECT_ROWS, leaf_rows or LEAF_ROWS
     if n > direct:
         copies = Window.partitionBy("_vec").orderBy("_cid")
@@ -60,6 +67,15 @@ def index_points(candidates: DataFrame, k: int, metric: str, missing: str = "err
     return build_index(rows, metric, width, n, leaf_rows=leaf_rows if n > direct else direct)
 
 
+def _sweeps(candidates: DataFrame, queries: DataFrame, n: int, n_queries: int, metric: str, width: int) -> bool:
+    """Whether blocks of queries had better sweep over all candidates, as an index or a direct comparison would copy either too often."""
+    if not n or not n_queries or not width:
+        return False
+    if n <= DIRECT_ROWS:
+        return ceil(n_queries * n / TASK_CELLS) * n > COPIES * (n + n_queries)
+    return not index_helps(candidates, queries, metric, width)
+
+
 def knn_join(
     queries: DataFrame,
     candidates: DataFrame,
@@ -80,7 +96,8 @@ def knn_join(
     distances rank by candidate id.  ``exclude_self`` removes the pair of equal ids.
     A feature that is null, NaN or infinite has no distance: with ``missing="error"``
     such rows are counted and refused, with ``"drop"`` they are left out on both sides.
-    Leaves of the index hold about ``block_rows`` candidates, if it is given.
+    Leaves of the index hold about ``block_rows`` candidates, if it is given;
+    else there is an index only where it rules out enough.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric} not recognized")
@@ -92,10 +109,14 @@ def knn_join(
     out_id = candidate_id if candidate_id != query_id else f"neighbor_{candidate_id}"
     kept = [F.col(c).alias(f"_keep_{c}") for c in keep]
     wanted = k + 1 if exclude_self else k
-    index = index_points(candidates.select(F.col(candidate_id).alias("_cid"), vec.alias("_vec"), *kept), wanted, metric, missing, block_rows)
+    c, n, width = _measurable(candidates.select(F.col(candidate_id).alias("_cid"), vec.alias("_vec"), *kept), missing, "candidates")
     q, n_queries, _ = _measurable(queries.select(F.col(query_id).alias("_id"), vec.alias("_vec")), missing, "queries")
     names = [f"_keep_{c}" for c in keep]
-    near = index_neighbors(index, q.withColumn("_pay", F.lit(None).cast("boolean")), k, exclude_self=exclude_self, n_queries=n_queries)
+    if block_rows is None and _sweeps(c, q, n, n_queries, metric, width):
+        near = sweep_neighbors(c, q, k, metric, width, n, n_queries, exclude_self=exclude_self)
+    else:
+        index = _index_of(c, n, width, wanted, metric, block_rows)
+        near = index_neighbors(index, q.withColumn("_pay", F.lit(None).cast("boolean")), k, exclude_self=exclude_self, n_queries=n_queries)
     ranking = Window.partitionBy("_id").orderBy("_d", "_cid")
     ranked = near.withColumn("_rank", F.row_number().over(ranking)).filter(F.col("_rank") <= k)
     return ranked.select("_id", "_cid", "_d", "_rank", *names).toDF(query_id, out_id, "distance", "rank", *keep)

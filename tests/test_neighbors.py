@@ -170,3 +170,61 @@ def test_common_patterns_of_gaps_use_an_index(spark):
         rows = missing_value_donors(df, "id", COLUMNS, 4, block_rows=block_rows).toPandas().sort_values(["id", "variable", "distance", "donor"])
         got = {k: list(v) for k, v in rows.groupby(["id", "variable"])["donor"]}
         assert got == want
+
+
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_a_sweep_matches_brute_force(spark, monkeypatch, metric, exclude_self):
+    from tabloom.operators import neighbors, pair_sweep
+
+    monkeypatch.setattr(neighbors, "_sweeps", lambda *_: True)
+    for name, value in (("QUERY_BLOCK", 30), ("POINT_BLOCK", 40), ("LEAST_BLOCK", 30), ("PART_CELLS", 300), ("SCREEN_PAIRS", 500)):
+        monkeypatch.setattr(pair_sweep, name, value)
+    rng = np.random.default_rng(7)
+    # Copies, ties, and vectors that single precision does not hold.
+    x = np.concatenate([rng.normal(size=(90, 3)), rng.integers(0, 3, size=(70, 3)).astype(float), np.full((20, 3), 0.5), rng.normal(1e6, 1e-3, size=(30, 3))])
+    df = table(spark, x, "id")
+    got = knn_join(df, df, 6, query_id="id", candidate_id="id", features=COLUMNS, metric=metric, exclude_self=exclude_self, keep=["a"])
+    got = got.orderBy("id", "rank").toPandas()
+    order, dist = brute(x, x, 6, metric, exclude=exclude_self)
+    assert (got["neighbor_id"].to_numpy().reshape(-1, 6) == order).all()
+    np.testing.assert_allclose(got["distance"].to_numpy().reshape(-1, 6), dist, atol=1e-12)
+    np.testing.assert_array_equal(got["a"].to_numpy().reshape(-1, 6), x[order, 0])
+
+
+def test_a_sweep_with_fewer_points_than_k_and_text_ids(spark, monkeypatch):
+    from tabloom.operators import neighbors
+
+    monkeypatch.setattr(neighbors, "_sweeps", lambda *_: True)
+    df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 3.0)], "id string, x double")
+    got = knn_join(df, df, 5, query_id="id", candidate_id="id", features=["x"], exclude_self=True).orderBy("id", "rank")
+    assert [(r["id"], r["neighbor_id"], r["distance"]) for r in got.collect()] == [
+        ("a", "b", 0.0), ("a", "c", 2.0), ("b", "a", 0.0), ("b", "c", 2.0), ("c", "a", 2.0), ("c", "b", 2.0)]
+
+
+def test_many_dimensions_write_no_copies_of_queries(spark, monkeypatch):
+    """Written tables follow the rows of both sides, not their product; a few dimensions keep the index."""
+    import os
+
+    from tabloom.operators import neighbors
+    from tabloom.session import shared_folder
+
+    monkeypatch.setattr(neighbors, "DIRECT_ROWS", 512)
+    monkeypatch.setattr(neighbors, "LEAF_ROWS", 64)
+    rng = np.random.default_rng(9)
+    c, q = rng.normal(size=(4000, 32)), rng.normal(size=(1500, 32))
+    names = [f"x{j}" for j in range(32)]
+    sides = [materialize(spark.createDataFrame(pd.DataFrame(x, columns=names).assign(**{key: np.arange(len(x))})), "sides") for x, key in ((q, "qid"), (c, "cid"))]
+
+    def written() -> int:
+        return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(shared_folder(spark)) for f in files)
+
+    before = written()
+    got = knn_join(*sides, 5, query_id="qid", candidate_id="cid", features=names).orderBy("qid", "rank").toPandas()
+    assert written() - before < 3 * 8 * 32 * (len(c) + len(q))
+    order, dist = brute(q, c, 5, "euclidean")
+    assert (got["cid"].to_numpy().reshape(-1, 5) == order).all()
+    np.testing.assert_allclose(got["distance"].to_numpy().reshape(-1, 5), dist, atol=1e-12)
+    few = [spark.createDataFrame(pd.DataFrame(rng.normal(size=(3000, 2)), columns=["x", "y"])).select(
+        F.monotonically_increasing_id().alias(key), F.array("x", "y").alias("_vec")) for key in ("_cid", "_id")]
+    assert not neighbors._sweeps(materialize(few[0], "c"), materialize(few[1], "q"), 3000, 3000, "euclidean", 2)
